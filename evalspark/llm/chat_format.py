@@ -29,6 +29,8 @@ LOSS_ROLE = "assistant"
 #: Running offsets are built from sums over chunks of so many texts, so that a
 #: conversation of n turns costs about n * (n / CHUNK + CHUNK) additions.
 CHUNK = 256
+#: The loss text is read in windows of so many spans.
+RUN = 16
 
 
 def _escaped(column: str) -> str:
@@ -40,6 +42,14 @@ def _unescaped(column: str) -> str:
     return f"replace(replace({column}, '\\\\l', '<'), '\\\\b', '\\\\')"
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` bound to ``value``, which is computed once.
+
+    A column used inside a lambda would be inlined there and computed for every element.
+    """
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def format_conversations(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
     """(conv_id, turn, role, text) to one row per conversation.
 
@@ -49,54 +59,32 @@ def format_conversations(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFr
     """
     role = loss_role.replace("\\", "\\\\").replace("'", "\\'")
     collected = turns.groupBy("conv_id").agg(
-        F.expr("array_sort(collect_list(struct(coalesce(turn, -9223372036854775808) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text)))").alias("turns")
+        F.expr("collect_list(struct(coalesce(turn, -9223372036854775808) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text))").alias("collected")
     )
     # a block starts where the role changes; each block is a slice of the sorted turns
-    blocks = collected.select(
-        "conv_id",
-        "turns",
-        F.expr("filter(sequence(0, size(turns) - 1), i -> i = 0 OR get(turns, i).role != get(turns, i - 1).role)").alias("firsts"),
-    ).select(
-        "conv_id",
-        F.expr(
-            f"""transform(firsts, (f, j) -> struct(
-                    get(turns, f).role AS role,
-                    transform(slice(turns, f + 1, coalesce(get(firsts, j + 1), size(turns)) - f), t -> {_escaped("t.text")}) AS texts))"""
-        ).alias("blocks"),
-    )
+    firsts = "filter(sequence(0, size(turns) - 1), i -> i = 0 OR get(turns, i).role != get(turns, i - 1).role)"
+    blocks = f"""transform(firsts, (f, j) -> struct(
+        get(turns, f).role AS role,
+        transform(slice(turns, f + 1, coalesce(get(firsts, j + 1), size(turns)) - f), t -> {_escaped("t.text")}) AS texts))"""
     # one row of pieces: what stands before a text, the text, and whether it is trained on
-    pieces = blocks.select(
-        "conv_id",
-        "blocks",
-        F.expr(
-            f"""flatten(transform(blocks, (b, j) -> transform(b.texts, (x, i) -> struct(
-                    CASE WHEN i > 0 THEN '{MORE}'
-                         ELSE concat(IF(j > 0, '{END}', ''), '{TURN}', {_escaped("b.role")}, '{TEXT}') END AS before,
-                    x AS text,
-                    b.role = '{role}' AS loss))))"""
-        ).alias("pieces"),
-    )
-    sized = pieces.withColumn("ends", F.expr("transform(pieces, p -> CAST(length(p.before) + length(p.text) AS BIGINT))")).withColumn(
-        "sums", F.expr(f"transform(sequence(0, (size(ends) - 1) DIV {CHUNK}), c -> aggregate(slice(ends, c * {CHUNK} + 1, {CHUNK}), 0L, (a, x) -> a + x))")
-    )
-    offsets = sized.withColumn(
-        "starts",
-        F.expr(
-            f"""transform(pieces, (p, i) ->
-                    aggregate(slice(sums, 1, i DIV {CHUNK}), 0L, (a, x) -> a + x)
-                  + aggregate(slice(ends, (i DIV {CHUNK}) * {CHUNK} + 1, i % {CHUNK}), 0L, (a, x) -> a + x)
-                  + length(p.before))"""
-        ),
-    )
-    return offsets.select(
-        "conv_id",
-        F.size("blocks").alias("n_blocks"),
-        F.expr(f"concat(array_join(transform(pieces, p -> concat(p.before, p.text)), ''), '{END}')").alias("formatted"),
-        F.expr(
-            """transform(filter(transform(pieces, (p, i) -> struct(get(starts, i) AS start, CAST(length(p.text) AS BIGINT) AS chars, p.loss AS loss)),
-                                m -> m.loss AND m.chars > 0), m -> struct(m.start AS start, m.chars AS chars))"""
-        ).alias("loss_mask"),
-    )
+    pieces = f"""flatten(transform(blocks, (b, j) -> transform(b.texts, (x, i) -> struct(
+        CASE WHEN i > 0 THEN '{MORE}' ELSE concat(IF(j > 0, '{END}', ''), '{TURN}', {_escaped("b.role")}, '{TEXT}') END AS before,
+        x AS text,
+        b.role = '{role}' AS loss))))"""
+    ends = "transform(pieces, p -> CAST(length(p.before) + length(p.text) AS BIGINT))"
+    sums = f"transform(sequence(0, (size(ends) - 1) DIV {CHUNK}), c -> aggregate(slice(ends, c * {CHUNK} + 1, {CHUNK}), 0L, (a, x) -> a + x))"
+    mask = f"""filter(transform(pieces, (p, i) -> struct(
+        aggregate(slice(sums, 1, i DIV {CHUNK}), 0L, (a, x) -> a + x)
+          + aggregate(slice(ends, (i DIV {CHUNK}) * {CHUNK} + 1, i % {CHUNK}), 0L, (a, x) -> a + x) + length(p.before) AS start,
+        CAST(length(p.text) AS BIGINT) AS chars,
+        p.loss AS loss)), m -> m.loss AND m.chars > 0)"""
+    row = f"""struct(
+        size(blocks) AS n_blocks,
+        concat(array_join(transform(pieces, p -> concat(p.before, p.text)), ''), '{END}') AS formatted,
+        transform({mask}, m -> struct(m.start AS start, m.chars AS chars)) AS loss_mask)"""
+    for name, value in (("sums", sums), ("ends", ends), ("pieces", pieces), ("blocks", blocks), ("firsts", firsts), ("turns", "array_sort(collected)")):
+        row = _let(name, value, row)
+    return collected.select("conv_id", F.expr(row).alias("r")).select("conv_id", "r.n_blocks", "r.formatted", "r.loss_mask")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -105,18 +93,17 @@ def read_back(formatted: DataFrame) -> DataFrame:
     turns: array<struct<role, text>>, merged turns apart again and unescaped;
     loss_text: all text under the loss mask, unescaped.
     """
-    opened = formatted.withColumn("_blocks", F.expr(f"slice(split(formatted, '{TURN}', -1), 2, greatest(size(split(formatted, '{TURN}', -1)) - 1, 0))"))
-    split = opened.withColumn(
-        "_blocks",
-        F.expr(f"transform(_blocks, b -> split(left(b, length(b) - {len(END)}), '{TEXT}', -1))"),
-    )
-    return split.select(
+    blocks = f"transform(slice(parts, 2, greatest(size(parts) - 1, 0)), b -> split(left(b, length(b) - {len(END)}), '{TEXT}', -1))"
+    turns = f"""flatten(transform({blocks}, b -> transform(split(b[1], '{MORE}', -1), x -> struct(
+        {_unescaped("b[0]")} AS role, {_unescaped("x")} AS text))))"""
+    # spans are cut out of windows of RUN spans, so that long conversations aren't walked through for each span
+    window = f"""struct(get(mask, w * {RUN}).start AS start,
+        substring(formatted, CAST(get(mask, w * {RUN}).start + 1 AS INT),
+                  CAST(get(mask, least((w + 1) * {RUN}, size(mask)) - 1).start + get(mask, least((w + 1) * {RUN}, size(mask)) - 1).chars - get(mask, w * {RUN}).start AS INT)) AS text)"""
+    spans = f"""transform(slice(mask, w * {RUN} + 1, {RUN}), m -> {_unescaped("substring(v.text, CAST(m.start - v.start + 1 AS INT), CAST(m.chars AS INT))")})"""
+    windows = f"flatten(transform(filter(sequence(0, size(mask) DIV {RUN}), w -> w * {RUN} < size(mask)), w -> {_let('v', window, spans)}))"
+    return formatted.select(
         *formatted.columns,
-        F.expr(
-            f"""flatten(transform(_blocks, b -> transform(split(b[1], '{MORE}', -1), x -> struct(
-                    {_unescaped("b[0]")} AS role, {_unescaped("x")} AS text))))"""
-        ).alias("turns"),
-        F.expr(
-            f"""array_join(transform(loss_mask, m -> {_unescaped("substring(formatted, CAST(m.start + 1 AS INT), CAST(m.chars AS INT))")}), '')"""
-        ).alias("loss_text"),
+        F.expr(_let("parts", f"split(formatted, '{TURN}', -1)", turns)).alias("turns"),
+        F.expr(_let("mask", "loss_mask", f"array_join({windows}, '')")).alias("loss_text"),
     )
