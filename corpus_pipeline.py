@@ -1,13 +1,67 @@
-"""A corpus pipeline of four stages over documents."""
+"""A corpus pipeline: quality filter, near-duplicate removal, removal of repeated passages, packing.
+
+Each stage reads what its predecessor has written as Parquet, and all but the
+last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from evalspark.llm import quality
+from evalspark.llm.common import table, written
+from evalspark.llm.jaccard_join import similar_components
+from evalspark.llm.packing import pack
+from evalspark.llm.suffix_repeats import remove_repeats
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the co-trained classifier rejects."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, into=("_quality", "_accepted")).where("_accepted").select(*[f"`{c}`" for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of smallest id of each group whose 5-word shingles are similar by 0.8 or more."""
+    groups = similar_components(docs, words=5, num=80, den=100)
+    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts strings of 100 bytes or more that occur earlier in the corpus out of the texts, in whole characters.
+
+    Rows without a doc_id can't be told apart and pass as they are.
+    """
+    kept = remove_repeats(docs, as_text=True).withColumn("text", F.when(F.col("n_bytes") > 0, F.col("kept_text")).otherwise(""))
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    names = [f"`{c}`" for c in docs.columns]
+    return kept.select(*names).union(docs.where("doc_id IS NULL").select(*names))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into sequences of 2048 tokens."""
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality_filter),
+    ("ngram_jaccard_join", near_duplicates),
+    ("suffix_array_dedup", repeated_passages),
+    ("packing", packing),
+]
 
-STAGES: list = []
-ORACLE_SQL = None
+#: SQL can't express the classifier; tests/llm compare the stages with brute force.
+ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to documents one after the other."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages applied to documents one after the other, each result written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evalspark.llm import quality
 from evalspark.llm.chat_format import END, LOSS_ROLE, MORE, TEXT, TURN, format_conversations, read_back
 from evalspark.llm.common import table
+from evalspark.llm.jaccard_join import similar_components
 from evalspark.llm.merge_dropout import decode, encode
 from evalspark.llm.near_vectors import near_vectors
 from evalspark.llm.packing import pack
 from evalspark.llm.sharding import shard_by_groups
+from evalspark.llm.suffix_repeats import remove_repeats
 from evalspark.llm.token_counts import count_tokens
 from evalspark.llm.topk import top_k
 
@@ -28,6 +31,13 @@ def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "ids", "n_tokens", "ids_crc32", F.octet_length("text").cast("long").alias("decoded_bytes"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability of quality by the co-trained views, and whether it is accepted."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", "quality", "accepted")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of at most 2048 tokens."""
     return pack(table(spark, sf_dir, "documents"))
@@ -43,6 +53,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes less those that an earlier equal string of 100 bytes covers."""
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept_text")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot; equal texts together, shards of near equal bytes."""
     text = F.coalesce("text", F.lit(""))
@@ -60,6 +75,11 @@ def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's 3-word shingles and its component among similarities of 0.9 or more."""
+    return similar_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and the probe, formatted and read back from the string."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -78,7 +98,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_merge_dropout, op3_packing, op4_topk_search, op5_token_counts, op7_sharding, op8_near_vectors, op10_chat_format)
+    f.__name__: f
+    for f in (
+        op1_merge_dropout,
+        op2_quality,
+        op3_packing,
+        op4_topk_search,
+        op5_token_counts,
+        op6_suffix_repeats,
+        op7_sharding,
+        op8_near_vectors,
+        op9_jaccard_join,
+        op10_chat_format,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
