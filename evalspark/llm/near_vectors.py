@@ -42,26 +42,29 @@ FIT_ROWS, FIT_ROUNDS = 4096, 30
 BITS = 64
 
 
-def iterative_quantisation(sample: np.ndarray, bits: int = BITS, rounds: int = FIT_ROUNDS, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projection) whose signs are the code: principal directions turned by the rotation
-    that alternating minimisation of the quantisation error finds."""
-    n_terms = sample.shape[1]
-    mean = sample.mean(axis=0)
-    centred = sample - mean
-    _, _, axes = np.linalg.svd(centred, full_matrices=True)
-    kept = axes[: min(bits, n_terms)].T
-    rotation, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((kept.shape[1],) * 2))
-    view = centred @ kept
-    for _ in range(rounds):
-        codes = np.where(view @ rotation >= 0, 1.0, -1.0)
-        u, _, vt = np.linalg.svd(view.T @ codes)
-        rotation = u @ vt
-    return mean, kept @ rotation
-
-
-def codes_of(vectors: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray:
+def iterative_quantisation(sample: np.ndarray, bits: int = BITS, rounds: int = FIT_ROUNDS, seed: int = 0) -> np.ndarray:
+    """A projection whose signs are the code: principal directions turned by the rotation that
+    alternating minimisation of the quantisation error finds, which balances the bits.
+
+    Vectors aren't centred, so that a bit differs for two vectors as often as
+    their angle says, even where one group holds most of the sample. Short
+    vectors get several rotations, one after the other, up to ``bits``.
+    """
+    _, _, axes = np.linalg.svd(sample, full_matrices=True)
+    kept = axes[:bits].T
+    view, parts = sample @ kept, []
+    for k in range(-(-bits // kept.shape[1])):
+        rotation, _ = np.linalg.qr(np.random.default_rng(seed + k).standard_normal((kept.shape[1],) * 2))
+        for _ in range(rounds):
+            u, _, vt = np.linalg.svd(view.T @ np.where(view @ rotation >= 0, 1.0, -1.0))
+            rotation = u @ vt
+        parts.append(kept @ rotation)
+    return np.hstack(parts)[:, :bits]
+
+
+def codes_of(vectors: np.ndarray, projection: np.ndarray) -> np.ndarray:
     """The sign code of each vector as one uint64."""
-    signs = (vectors - mean) @ projection >= 0
+    signs = vectors @ projection >= 0
     return (signs.astype(np.uint64) << np.arange(signs.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
@@ -77,7 +80,7 @@ def _unit(table: pa.Table) -> np.ndarray:
     return flat.reshape(table.num_rows, -1).astype(np.float64)
 
 
-def _coder(fits: dict[int, tuple[np.ndarray, np.ndarray]]):
+def _coder(fits: dict[int, np.ndarray]):
     """Adds each class's code; fits has a model for each vector length."""
 
     def coded(batches):
@@ -88,7 +91,7 @@ def _coder(fits: dict[int, tuple[np.ndarray, np.ndarray]]):
                 at = np.flatnonzero(lengths == n)
                 # a length that the sample lacks has one code, so its vectors are compared all
                 if n in fits:
-                    codes[at] = codes_of(_normed(np.array([vectors[i] for i in at], np.float64)), *fits[n])
+                    codes[at] = codes_of(_normed(np.array([vectors[i] for i in at], np.float64)), fits[n])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes.astype(np.int64))], [*batch.schema.names, "code"])
 
     return coded
@@ -155,7 +158,6 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tables: int =
 
     ``threshold`` is a cosine over 0.5, so that equal vectors always link.
     """
-    spark = vectors.sparkSession
     rows = vectors.select("vec_id", F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("vector", lambda x: x != 0)
     usable = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(finite, F.lit(False)))
@@ -198,5 +200,4 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tables: int =
     joined = members.join(by_class, (F.col("label") == F.col("_label")) & (F.col("vector") == F.col("_vector")), "left")
     # a class of a component has its smallest id as name, so the smallest class is the smallest id reachable
     out = joined.select("vec_id", F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("vec_id").isNotNull(), F.coalesce("_component", "vec_id")).alias("component_id"))
-    del spark
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -45,7 +45,8 @@ def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     total = len(words)
     folded = words.copy()
     for k in range(1, n):
-        folded[: total - k] = mixed(folded[: total - k] * U64(31) + words[k:])
+        m = max(0, total - k)
+        folded[:m] = mixed(folded[:m] * U64(31) + words[k : k + m])
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= n:
