@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -34,22 +35,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs now.
+
+    They go when the driver's JVM collects the plans that own them, which may
+    take long on a driver with little to do.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and written to the shared folder, so that neither a
     lost executor nor a second reader computes it again."""
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    # a plan of its own, which nothing holds afterwards
+    return df.select("*").checkpoint(eager=True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read again.
+    """``df`` as a Parquet table in the shared folder, read again; the shuffle files behind it go.
 
-    Unlike a checkpoint it is columnar and compressed: for tables with texts.
+    Unlike a checkpoint it is columnar and compressed: for large results.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.llm.common import U64, cut, mixed, shared_folder, slices, span_hashes, utf8_column
+from evalspark.llm.common import U64, cut, dropped, mixed, release, shared_folder, slices, span_hashes, utf8_column, written
 
 LENGTH = 100
 GRAM = 32
@@ -327,7 +327,8 @@ def by_document(docs: DataFrame, name: str = "repeats") -> DataFrame:
     table = f"{name}_{uuid.uuid4().hex}"
     unique = docs.where(F.col("doc_id").isNotNull()).repartition(parts, "doc_id").dropDuplicates(["doc_id"])
     parts = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    unique.write.bucketBy(parts, "doc_id").option("path", f"{shared_folder(spark).rstrip('/')}/{table}").saveAsTable(table)
+    unique.write.bucketBy(parts, "doc_id").option("compression", "zstd").option("path", f"{shared_folder(spark).rstrip('/')}/{table}").saveAsTable(table)
+    release(spark)
     return spark.table(table)
 
 
@@ -351,11 +352,13 @@ def removal_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     distinct = texts.join(originals, "doc_id", "left_semi")
     anchors = distinct.mapInArrow(_anchors(length, gram, buckets), "bucket int, rows binary")
     shared = anchors.groupBy("bucket").applyInArrow(_shared, "doc_id long, rows binary")
-    lists = cut(shared.groupBy("doc_id").agg(F.collect_list("rows").alias("rows")))
-    found = cut(distinct.join(lists, "doc_id").select("doc_id", "text", "rows").mapInArrow(_contexts(length, buckets), "bucket int, rows binary, contexts binary, doc_id long, start long, end long"))
+    lists = written(shared.groupBy("doc_id").agg(F.collect_list("rows").alias("rows")), "lists")
+    contexts = distinct.join(lists, "doc_id").select("doc_id", "text", "rows").mapInArrow(_contexts(length, buckets), "bucket int, rows binary, contexts binary, doc_id long, start long, end long")
+    found = written(contexts, "contexts")
     repeats = found.where("bucket IS NOT NULL").select("bucket", "rows", "contexts").groupBy("bucket").applyInArrow(_removed(length), "doc_id long, start long, end long")
     spans = found.where("bucket IS NULL").select("doc_id", "start", "end").union(repeats)
-    by_doc = cut(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    by_doc = written(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    dropped(lists, found)
     marked = originals.withColumn("original", F.lit(True)).join(by_doc, "doc_id", "left")
     return texts.select("doc_id").join(marked, "doc_id", "left").select("doc_id", F.col("original").isNull().alias("copy"), "spans")
 
