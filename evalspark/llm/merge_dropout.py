@@ -1,16 +1,20 @@
 """SentencePiece encoding with seeded merge-dropout, and decoding.
 
 Merge-type segmentation with an agenda: all adjacent symbol pairs that form a
-piece are candidates in a heap, the best-ranked (then leftmost) is taken, and
-the new neighbours become candidates. A candidate taken from the agenda is
-skipped when a keyed hash of (seed, lane, word, place, piece) falls below
-``dropout``; a skipped merge may come up again only as part of other pairs. So
-equal words get varied segmentations that are the same on every run and every
-cluster. Without dropout the ids equal the library's own encoding.
+piece are candidates, the best-ranked (then leftmost) is taken, and the new
+neighbours become candidates. A candidate taken from the agenda is skipped when
+a keyed hash of (seed, lane, word, place, piece) falls below ``dropout``; a
+skipped merge may come up again only as part of other pairs. So equal words get
+varied segmentations that are the same on every run and every cluster. Without
+dropout the ids equal the library's own encoding.
 
 The lane is a number below LANES drawn by hash from the seed, the document and
-the word's place in it. Segmentations are kept by (lane, word) in a bounded
-memo, as most words of a corpus repeat.
+the word's place in it; it bounds the segmentations that one seed gives a word.
+Segmentations are kept by (lane, word) in a bounded memo, as most words of a
+corpus repeat. The agendas of the words that a part of a batch has besides are
+processed in step, as rows of arrays; long words and those with characters that
+only bytes spell have an agenda of their own (a heap where they are long), with
+equal results.
 
 Lossless: the word mark itself in a text is spelled by byte pieces, and so is
 every character without a piece, so ``decode`` returns every text exactly.
@@ -25,21 +29,29 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 
-from evalspark.llm.common import U64, list_array, mixed, slices
+from evalspark.llm.common import BASE, MIX, U64, powers, list_array, mixed, slices
 
 MARK = "▁"
 VOCABULARY = "piece_bpe_32k"
-LANES = 8
-PART_BYTES = 4 << 20
-#: Segmentations that a Python worker keeps, and the longest word kept.
-MEMO, MEMO_WORD = 400_000, 64
+LANES = 4
+#: No candidate. A mark that is a character of the text stands as LITERAL, which no piece has, while it is segmented.
+NEVER, LITERAL = 1 << 40, "\udc81"
+#: Multipliers of a candidate's keyed hash.
+RANK_KEY, PLACE_KEY, SKIP_KEY = BASE, *MIX
+#: From this length on a word's agenda is a heap.
+HEAP_FROM = 40
+PART_BYTES = 3 << 20
+#: So many words have their agendas processed in step.
+STEP = 8192
+#: Segmentations that a Python worker keeps in each of two generations, and the longest word kept.
+MEMO, MEMO_WORD = 250_000, 60
 
 _models: dict[str, Model] = {}
 _memos: dict[tuple, dict] = {}
@@ -58,7 +70,7 @@ class Model:
         kinds = proto.SentencePiece.Type
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == kinds.NORMAL}
         #: Smaller is merged earlier: scores fall along the merges.
-        self.rank = {p.piece: -p.score for p in proto.pieces if p.type == kinds.NORMAL}
+        self.rank = {p.piece: round(-p.score) for p in proto.pieces if p.type == kinds.NORMAL}
         self.bytes = [i for i, p in enumerate(proto.pieces) if p.type == kinds.BYTE]
         self.raw: list[bytes] = [b""] * len(proto.pieces)
         for i, p in enumerate(proto.pieces):
@@ -66,52 +78,147 @@ class Model:
                 self.raw[i] = p.piece.replace(MARK, " ").encode()
         for value, i in enumerate(self.bytes):
             self.raw[i] = bytes([value])
+        self._tables()
         #: Words may be segmented apart only if no piece has a mark after another character.
         assert all(MARK not in p.lstrip(MARK) for p in self.ids)
 
+    def _tables(self) -> None:
+        """What the vector agenda looks up: symbols of characters, and merges of symbol pairs."""
+        #: The symbol of a character that is its own piece or, for one byte, a byte piece; 0 (unknown) else.
+        self.symbol_of = np.zeros(0x110000, np.int32)
+        for value, i in enumerate(self.bytes[:128]):
+            self.symbol_of[value] = i
+        pairs = {}
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.symbol_of[ord(piece)] = i
+            for k in range(1, len(piece)):
+                left, right = self.ids.get(piece[:k]), self.ids.get(piece[k:])
+                if left is not None and right is not None:
+                    pairs[left << 16 | right] = (self.rank[piece], i)
+        keys = np.array(sorted(pairs), np.uint64)
+        self.pair_keys = keys
+        self.pair_ranks = np.array([pairs[k][0] for k in keys.tolist()], np.int64)
+        self.pair_ids = np.array([pairs[k][1] for k in keys.tolist()], np.int32)
+        #: Whether any pair's hash has these leading bits; most pairs that don't merge end here.
+        self.pair_has = np.zeros(1 << 22, bool)
+        self.pair_has[keys * U64(BASE) >> U64(42)] = True
+
+    def _merges(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks and ids of what symbol pairs merge to; NEVER where they don't."""
+        keys = (left.astype(U64) << U64(16)) | right.astype(U64)
+        ranks, ids = np.full(len(keys), NEVER, np.int64), np.zeros(len(keys), np.int32)
+        maybe = np.flatnonzero(self.pair_has[keys * U64(BASE) >> U64(42)])
+        at = np.minimum(np.searchsorted(self.pair_keys, keys[maybe]), len(self.pair_keys) - 1)
+        hit = self.pair_keys[at] == keys[maybe]
+        ranks[maybe[hit]], ids[maybe[hit]] = self.pair_ranks[at[hit]], self.pair_ids[at[hit]]
+        return ranks, ids
+
+    def segment_all(self, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+        """Agendas of many words in step. Rows of symbols (no 0 in a word) to their ids, one after the other, and counts.
+
+        Row i of the agenda has the rank of the pair that starts at each place;
+        each round takes the best candidate of every word, skips or merges it.
+        """
+        n, width = symbols.shape
+        symbols = symbols.copy()
+        alive = np.arange(width)[None, :] < lengths[:, None]
+        right = np.tile(np.arange(1, width + 1, dtype=np.int16), (n, 1))
+        left = np.tile(np.arange(-1, width - 1, dtype=np.int16), (n, 1))
+        agenda, result = np.full((n, width), NEVER, np.int64), np.zeros((n, width), np.int32)
+        row, place = np.nonzero(alive[:, 1:])
+        agenda[row, place], result[row, place] = self._merges(symbols[row, place], symbols[row, place + 1])
+        rows = np.arange(n)
+        while len(rows):
+            i = agenda[rows].argmin(axis=1)
+            r = agenda[rows, i]
+            on = r < NEVER
+            rows, i, r = rows[on], i[on], r[on]
+            if threshold:
+                h = keys[rows] + r.astype(U64) * U64(RANK_KEY) + i.astype(U64) * U64(PLACE_KEY)
+                go = ((h ^ (h >> U64(29))) * U64(SKIP_KEY)) >> U64(32) >= U64(threshold)
+                agenda[rows[~go], i[~go]] = NEVER
+                w, i = rows[go], i[go]
+            else:
+                w = rows
+            j = right[w, i]
+            symbols[w, i] = result[w, i]
+            alive[w, j] = False
+            agenda[w, j] = NEVER
+            k = right[w, j].astype(np.int64)
+            right[w, i] = k
+            agenda[w, i] = NEVER
+            more = k < lengths[w]
+            u, a, b = w[more], i[more], k[more]
+            left[u, b] = a
+            agenda[u, a], result[u, a] = self._merges(symbols[u, a], symbols[u, b])
+            k = left[w, i].astype(np.int64)
+            more = k >= 0
+            u, a, b = w[more], k[more], i[more]
+            agenda[u, a], result[u, a] = self._merges(symbols[u, a], symbols[u, b])
+        return symbols[alive], alive.sum(axis=1)
+
     def segment(self, word: str, marks: int, key: int, threshold: int) -> list[int]:
         """The ids of a word whose first ``marks`` characters are word marks.
 
-        A candidate is skipped when its keyed 32-bit hash is below threshold.
+        The agenda holds each adjacent pair's rank, NEVER where the pair is no
+        piece or was skipped. A candidate is skipped when its keyed 32-bit hash
+        is below threshold.
         """
-        rank, n = self.rank, len(word)
-        symbols: list[str] = [*word]
-        # a mark further on is a character of the text, which has to be spelled by bytes
+        if len(word) > HEAP_FROM:
+            return self._segment_long(word, marks, key, threshold)
+        get, symbols = self.rank.get, [*word]
         if MARK in word[marks:]:
-            symbols = [c if i < marks or c != MARK else "" for i, c in enumerate(symbols)]
+            symbols[marks:] = [LITERAL if c == MARK else c for c in symbols[marks:]]
+        agenda = [get(x + y, NEVER) for x, y in zip(symbols, symbols[1:], strict=False)]
+        places = [*range(len(symbols))]
+        while agenda and (r := min(agenda)) < NEVER:
+            i = agenda.index(r)
+            if threshold:
+                h = (key + r * RANK_KEY + places[i] * PLACE_KEY) & 0xFFFFFFFFFFFFFFFF
+                if ((h ^ (h >> 29)) * SKIP_KEY & 0xFFFFFFFFFFFFFFFF) >> 32 < threshold:
+                    agenda[i] = NEVER
+                    continue
+            merged = symbols[i] = symbols[i] + symbols[i + 1]
+            del symbols[i + 1], places[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = get(merged + symbols[i + 1], NEVER)
+            if i:
+                agenda[i - 1] = get(symbols[i - 1] + merged, NEVER)
+        return self._ids_of(symbols)
+
+    def _ids_of(self, symbols: list[str]) -> list[int]:
+        out = [*map(self.ids.get, symbols)]
+        if None in out:  # only single characters lack a piece: they are spelled by bytes
+            out = [x for i, s in zip(out, symbols, strict=True) for x in ([i] if i is not None else [self.bytes[b] for b in (MARK if s == LITERAL else s).encode()])]
+        return out
+
+    def _segment_long(self, word: str, marks: int, key: int, threshold: int) -> list[int]:
+        """The same with a heap as agenda, whose cost grows with n log n."""
+        get, symbols, n = self.rank.get, [*word], len(word)
+        symbols[marks:] = [LITERAL if c == MARK else c for c in symbols[marks:]]
         right, left = [*range(1, n), -1], [-1, *range(n - 1)]
-        agenda = []
-        for i in range(n - 1):
-            if symbols[i] and symbols[i + 1] and (r := rank.get(pair := symbols[i] + symbols[i + 1])) is not None:
-                agenda.append((r, i, pair))
+        agenda = [(r, i, symbols[i] + symbols[i + 1]) for i in range(n - 1) if (r := get(symbols[i] + symbols[i + 1], NEVER)) < NEVER]
         heapq.heapify(agenda)
-        alive = [True] * n
         while agenda:
             r, i, pair = heapq.heappop(agenda)
-            j = right[i] if alive[i] else -1
+            j = right[i] if symbols[i] else -1
             if j < 0 or symbols[i] + symbols[j] != pair:
                 continue
-            if threshold and (mix_int(key ^ (int(r) << 24) ^ i) >> 32) < threshold:
-                continue
-            symbols[i] = pair
-            alive[j] = False
+            if threshold:
+                h = (key + r * RANK_KEY + i * PLACE_KEY) & 0xFFFFFFFFFFFFFFFF
+                if ((h ^ (h >> 29)) * SKIP_KEY & 0xFFFFFFFFFFFFFFFF) >> 32 < threshold:
+                    continue
+            symbols[i], symbols[j] = pair, ""
             k = right[i] = right[j]
             if k >= 0:
                 left[k] = i
-                if symbols[k] and (r := rank.get(pair := symbols[i] + symbols[k])) is not None:
-                    heapq.heappush(agenda, (r, i, pair))
+                if (r := get(pair + symbols[k], NEVER)) < NEVER:
+                    heapq.heappush(agenda, (r, i, pair + symbols[k]))
             k = left[i]
-            if k >= 0 and symbols[k] and (r := rank.get(pair := symbols[k] + symbols[i])) is not None:
-                heapq.heappush(agenda, (r, k, pair))
-        out, ids, i = [], self.ids, 0
-        while i >= 0 and n:
-            own = ids.get(symbols[i]) if symbols[i] else None
-            if own is not None:
-                out.append(own)
-            else:  # no piece: only single characters can lack one
-                out += [self.bytes[b] for b in word[i].encode()]
-            i = right[i]
-        return out
+            if k >= 0 and (r := get(symbols[k] + pair, NEVER)) < NEVER:
+                heapq.heappush(agenda, (r, k, symbols[k] + pair))
+        return self._ids_of([s for s in symbols if s])
 
     def decode(self, ids) -> str:
         """The text of ids that ``encode`` made: pieces and bytes joined, less the first word's mark."""
@@ -137,10 +244,9 @@ class Encoder:
     def __init__(self, dropout: float, seed: int, lanes: int = LANES, vocabulary: str = VOCABULARY) -> None:
         self.model, self.seed, self.lanes = model(vocabulary), seed, max(1, lanes if dropout else 1)
         self.threshold = min(int(dropout * (1 << 32)), 1 << 32)
-        memos = _memos.setdefault((dropout, seed, lanes, vocabulary), {})
+        self.memos = _memos.setdefault((dropout, seed, lanes, vocabulary), {})
         for lane in range(self.lanes):
-            memos.setdefault(lane, {})
-        self.memos = memos
+            self.memos.setdefault(lane, [{}, {}])
 
     def _units(self, text: str) -> list[str]:
         """The words between spaces. Runs of spaces stay with the word after them, as pieces of several marks exist."""
@@ -155,37 +261,87 @@ class Encoder:
             units.append(" " * held)
         return units
 
-    def _word(self, unit: str, lane: int) -> bytes:
+    def _marked(self, unit: str) -> tuple[str, int]:
+        """A unit with marks for spaces, and their number."""
         body = unit.lstrip(" ")
         # a unit of spaces alone is as many marks; else the space before the word is a mark, too
         marks = len(unit) - len(body) + (1 if body else 0)
-        key = xxhash.xxh64_intdigest(unit.encode(), seed=mix_int(self.seed * self.lanes + lane))
-        ids = self.model.segment(MARK * marks + body, marks, key, self.threshold)
-        return np.array(ids, "<u2").tobytes()
+        return MARK * marks + body, marks
+
+    def _key(self, lane: int) -> int:
+        return mix_int(self.seed * self.lanes + lane & 0xFFFFFFFFFFFFFFFF)
+
+    def _one(self, unit: str, lane: int) -> bytes:
+        """The ids of a unit of any length and characters."""
+        word, marks = self._marked(unit)
+        codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(U64)
+        key = int(mixed((codes * powers(len(codes))).sum(dtype=U64, keepdims=True) + U64(self._key(lane)))[0])
+        return array("H", self.model.segment(word, marks, key, self.threshold)).tobytes()
+
+    def _many(self, units: list[str], lane: int) -> dict[str, bytes]:
+        """The ids of distinct units: in step where all characters are symbols and the word isn't long, else one by one."""
+        out, plain = {}, []
+        for unit in units:
+            if len(unit) < HEAP_FROM and " " not in unit and MARK not in unit:
+                plain.append(unit)
+            else:
+                out[unit] = self._one(unit, lane)
+        plain.sort(key=len)
+        for start in range(0, len(plain), STEP):
+            some = plain[start : start + STEP]
+            lengths = np.fromiter(map(len, some), np.int64, len(some)) + 1
+            width = int(lengths.max())
+            codes = np.zeros((len(some), width), np.uint32)
+            codes[np.arange(width)[None, :] < lengths[:, None]] = np.frombuffer((MARK + MARK.join(some)).encode("utf-32-le"), np.uint32)
+            keys = mixed((codes.astype(U64) * powers(width)[None, :]).sum(axis=1, dtype=U64) + U64(self._key(lane)))
+            symbols = self.model.symbol_of[codes]
+            known = ((symbols > 0) | (codes == 0) & (np.arange(width)[None, :] >= lengths[:, None])).all(axis=1)
+            ids, counts = self.model.segment_all(symbols[known], lengths[known], keys[known], self.threshold)
+            raw, ends = ids.astype(np.uint16).tobytes(), (2 * np.cumsum(counts)).tolist()
+            at = 0
+            for unit, ok in zip(some, known.tolist(), strict=True):
+                if ok:
+                    begin = ends[at - 1] if at else 0
+                    out[unit] = raw[begin : ends[at]]
+                    at += 1
+                else:
+                    out[unit] = self._one(unit, lane)
+        return out
+
+    def encode_all(self, doc_ids: list, texts: list) -> list[np.ndarray]:
+        """The ids of texts, as uint16 arrays."""
+        jobs, fresh = [], [{} for _ in range(self.lanes)]
+        for lane in range(self.lanes):
+            if len(self.memos[lane][0]) >= MEMO // self.lanes:
+                self.memos[lane] = [{}, self.memos[lane][0]]  # what was used of late stays
+        young, old = ([self.memos[lane][k] for lane in range(self.lanes)] for k in (0, 1))
+        for doc_id, text in zip(doc_ids, texts, strict=True):
+            if not text:
+                jobs.append(((), b""))
+                continue
+            units = text.split(" ") if "  " not in text and text[0] != " " and text[-1] != " " else self._units(text)
+            lanes = bytes(len(units))
+            if self.lanes > 1:
+                key = mix_int((self.seed << 1 ^ (doc_id or 0) * BASE) & 0xFFFFFFFFFFFFFFFF)
+                lanes = (mixed(np.arange(len(units), dtype=U64) * U64(SKIP_KEY) + U64(key)) % U64(self.lanes)).astype(np.uint8).tobytes()
+            jobs.append((units, lanes))
+            for unit, lane in zip(units, lanes, strict=True):
+                if unit not in young[lane]:
+                    if unit in old[lane]:
+                        young[lane][unit] = old[lane][unit]
+                    else:
+                        fresh[lane][unit] = None
+        for lane in range(self.lanes):
+            young[lane].update(self._many(list(fresh[lane]), lane))
+        out = [np.frombuffer(b"".join([young[lane][unit] for unit, lane in zip(units, lanes, strict=True)]), np.uint16) for units, lanes in jobs]
+        for lane in range(self.lanes):  # long words hardly come again
+            for unit in [u for u in fresh[lane] if len(u) > MEMO_WORD]:
+                del young[lane][unit]
+        return out
 
     def encode(self, doc_id: int | None, text: str | None) -> np.ndarray:
         """The ids of a text, as uint16."""
-        if not text:
-            return np.zeros(0, np.uint16)
-        units = text.split(" ") if "  " not in text and text[0] != " " and text[-1] != " " else self._units(text)
-        if self.lanes == 1:
-            lanes = bytes(len(units))
-        else:
-            key = mix_int((self.seed << 1 ^ (doc_id or 0) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
-            places = np.arange(len(units), dtype=U64) * U64(0x94D049BB133111EB) + U64(key)
-            lanes = (mixed(places) % U64(self.lanes)).astype(np.uint8).tobytes()
-        memos, out = self.memos, []
-        for unit, lane in zip(units, lanes, strict=True):
-            memo = memos[lane]
-            ids = memo.get(unit)
-            if ids is None:
-                ids = self._word(unit, lane)
-                if len(unit) <= MEMO_WORD:
-                    if len(memo) >= MEMO // self.lanes:
-                        memo.clear()
-                    memo[unit] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), "<u2")
+        return self.encode_all([doc_id], [text])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         return self.model.decode(ids.tolist()) if len(ids) else ""
@@ -198,7 +354,7 @@ def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 0, lanes: int = LA
         coder = Encoder(dropout, seed, lanes, vocabulary)
         for batch in batches:
             for some in slices(batch, "text", PART_BYTES):
-                ids = [coder.encode(d, t) for d, t in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist(), strict=True)]
+                ids = coder.encode_all(some.column("doc_id").to_pylist(), some.column("text").to_pylist())
                 flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), list_array(flat, np.array([len(x) for x in ids], np.int64), pa.int32())], ["doc_id", "ids"])
 
