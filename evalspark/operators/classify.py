@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from evalspark.functions.text import NEGATIVE_PATTERNS, clean_for_encoding, is_negative, is_verdict_only, sentences
+from evalspark.operators.stats import exact_quantiles
 from evalspark.operators.topics import Encoder, encoded
 from evalspark.schema import BLOCKS, SCORE_OF_BLOCK, require_columns
 
@@ -103,17 +104,24 @@ def flag_outliers_and_ambiguous(
     ratio_threshold: float = AMBIGUITY_RATIO,
     min_group: int = MIN_GROUP,
     keep_intermediate: bool = False,
+    bracketed: bool = False,
 ) -> DataFrame:
     """Adds classification_status: Outlier over Ambiguous over Valid.
 
     An outlier's distance is over its topic's upper fence (exact quartiles with
     linear interpolation; topics of fewer than ``min_group`` rows have none).
     There is one row of quartiles per topic, which Spark joins as it sees fit,
-    and a topic's rows stay where they are.
+    and a topic's rows stay where they are. ``bracketed`` finds the quartiles in
+    three passes without holding a topic's distances in one task: for large
+    tables that are persisted or stored.
     """
     d = df.withColumns({"dist_primary": 1 - F.col(primary), "dist_secondary": 1 - F.col(secondary)})
-    quartiles = d.where(F.col(topic).isNotNull()).groupBy(F.col(topic).alias("_topic")).agg(F.count(F.lit(1)).alias("_n"), F.percentile("dist_primary", F.array(F.lit(0.25), F.lit(0.75))).alias("_q"))
-    fences = quartiles.where(F.col("_n") >= min_group).select("_topic", (F.col("_q")[1] + iqr_multiplier * (F.col("_q")[1] - F.col("_q")[0])).alias("_fence"))
+    if bracketed:
+        quartiles = exact_quantiles(d, topic, "dist_primary", {"_q1": 0.25, "_q3": 0.75}).select(F.col(topic).alias("_topic"), F.col("n").alias("_n"), "_q1", "_q3")
+    else:
+        both = F.percentile("dist_primary", F.array(F.lit(0.25), F.lit(0.75)))
+        quartiles = d.where(F.col(topic).isNotNull()).groupBy(F.col(topic).alias("_topic")).agg(F.count(F.lit(1)).alias("_n"), both.alias("_q")).select("_topic", "_n", F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"))
+    fences = quartiles.where(F.col("_n") >= min_group).select("_topic", (F.col("_q3") + iqr_multiplier * (F.col("_q3") - F.col("_q1"))).alias("_fence"))
     joined = d.join(fences, d[topic] == fences["_topic"], "left")
     ratio = F.when((F.col("dist_secondary") == 0) & (F.col("dist_primary") > 0), F.lit(float("inf"))).otherwise(F.try_divide("dist_primary", "dist_secondary"))
     flagged = joined.withColumns({"is_outlier": F.coalesce(F.col("dist_primary") > F.col("_fence"), F.lit(False)), "ambiguity_ratio": ratio})

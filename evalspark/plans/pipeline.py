@@ -67,7 +67,7 @@ class EvaluationPipeline:
         if not flag:
             return found
         # quartiles and rows read the encoded sentences both; the level spills and survives a lost executor by recomputation
-        return flag_outliers_and_ambiguous(found.persist(StorageLevel.DISK_ONLY), iqr_multiplier=iqr_multiplier, ratio_threshold=ratio_threshold)
+        return flag_outliers_and_ambiguous(found.persist(StorageLevel.DISK_ONLY), iqr_multiplier=iqr_multiplier, ratio_threshold=ratio_threshold, bracketed=True)
 
     def sheets(self, classified: DataFrame, top_n: int = TOP_N, **how) -> dict[str, DataFrame]:
         return workbook_sheets(classified, self.topics, top_n, **how)

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from evalspark.operators.classify import UNCLASSIFIED, classify_sentences, cosine, flag_outliers_and_ambiguous, negative_sentences, score_topics, select_blocks, top_matches
 from evalspark.operators.report import activity_summary, block_weights, occurring, pivot_block, raw_sheet, workbook_sheets
+from evalspark.operators.stats import exact_quantiles
 from evalspark.operators.topics import TOPICS, HashingEncoder, encoded, topic_catalog, topic_index
 from evalspark.schema import CLASSIFIED_SCHEMA, RESULT_COLUMNS
 from pyspark.sql import functions as F
@@ -54,6 +55,7 @@ def test_flags_equal_numpy(spark):
     rows += [row("three", "small", 0.1), row("t2", "small", 0.9), row("t3", "small", 0.9), row("zero", "q", 1.0, "u", 1.0), row("inf", "q", 0.5, "u", 1.0), row("null", None, 0.5, "u", 0.5)]
     out = {r["sentence"]: r["classification_status"] for r in flag_outliers_and_ambiguous(spark.createDataFrame(rows, CL)).collect()}
     assert out == dict(zip([r[0] for r in rows], statuses(rows), strict=True))
+    assert out == {r["sentence"]: r["classification_status"] for r in flag_outliers_and_ambiguous(spark.createDataFrame(rows, CL), bracketed=True).collect()}
     assert "Outlier" in out.values() and "Ambiguous" in out.values()
     empty = flag_outliers_and_ambiguous(spark.createDataFrame([], CL))
     assert empty.collect() == [] and "classification_status" in empty.columns
@@ -121,3 +123,14 @@ def test_catalog_and_encoder(spark):
     v = HashingEncoder(64).encode(["same words", "words same", "", "other"])
     assert np.allclose(v[0], v[1]) and not v[2].any() and not np.allclose(v[0], v[3])
     assert encoded(spark.createDataFrame([(None,)], "t string"), "t", HashingEncoder(8)).first()["vec"] == [0.0] * 8
+
+
+def test_exact_quantiles_equal_numpy(spark):
+    rng = np.random.default_rng(5)
+    rows = [(g, float(v)) for g, n in (("a", 1), ("b", 2), ("c", 7), ("d", 1000), ("e", 30_000)) for v in rng.normal(size=n).round(3)] + [("a", None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for whole in (10**6, 100):  # all groups whole, or the larger ones by brackets
+        out = {r["g"]: r for r in exact_quantiles(df, "g", "v", {"q1": 0.25, "q3": 0.75}, whole=whole, accuracy=2000).collect()}
+        for g in "abcde":
+            own = [v for k, v in rows if k == g and v is not None]
+            assert out[g]["n"] == len(own) and np.allclose([out[g]["q1"], out[g]["q3"]], np.percentile(own, [25, 75]), rtol=0, atol=1e-12)
