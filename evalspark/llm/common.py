@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 
@@ -133,6 +134,48 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int):
         start = end
 
 
+#: A bitmap has so many bits (4 MB), whatever the corpus.
+BITMAP_BITS = 1 << 25
+
+
+def place_of(values: np.ndarray) -> np.ndarray:
+    """The bitmap places of 64-bit hashes."""
+    return (values.view(U64) % U64(BITMAP_BITS)).astype(np.int64)
+
+
+def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """Bits of the values of a column of 64-bit hashes: a filter of fixed size for rows that a later join keeps.
+
+    It lets every value through that the column has. Where the column has many
+    more values than bits it lets all through, and the join alone decides.
+    """
+    words = BITMAP_BITS // 64
+    place = F.col(column).bitwiseAND(F.lit(BITMAP_BITS - 1))
+    bits = hashes.select(place.alias("p")).groupBy((F.col("p") % words).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(p DIV {words} AS INT))")).alias("bits"))
+    found = bits.toArrow()
+    out = np.zeros(words, np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes may be in the column that the bitmap was made of."""
+    place, words = place_of(hashes), len(bits)
+    return ((bits[place % words] >> (place // words)) & 1).astype(bool)
+
+
+def maybe_in(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``column`` may be among those of ``ids``, before a join with them shuffles ``df``."""
+    shared = df.sparkSession.sparkContext.broadcast(bitmap(ids.select(F.xxhash64(column).alias("_h")), "_h"))
+    rows = df.withColumn("_h", F.xxhash64(column))
+
+    def kept(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(shared.value, batch.column("_h").to_numpy(zero_copy_only=False))))
+
+    return rows.mapInArrow(kept, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)).drop("_h")
+
+
 def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     """Consecutive runs of ``values`` as an Arrow list column."""
     offsets = np.zeros(len(lengths) + 1, np.int32)

@@ -1,15 +1,17 @@
 """Grouped prefix join: documents whose word-shingle sets have a Jaccard similarity over a threshold.
 
 1. Documents with equal sets are one class (they link with each other). One
-   pass over the texts gives each document's class and the shingles that are
-   frequent in each task; the HEAVY most frequent ones of the corpus are a list
-   of fixed size, which is broadcast and orders shingles from rare to frequent.
+   pass over the texts gives each document's class and the shingles that occur
+   more than once in a batch of a task; by these counts the HEAVY most frequent
+   ones of the corpus are a list of fixed size, which is broadcast and orders
+   shingles from rare to frequent.
 2. A set of n shingles that is similar enough to another shares one of its
    first n - ceil(t * n) + 1 shingles in that order, its prefix. Classes with an
    identical prefix and size are one group, and only groups have postings.
 3. Group pairs that share a prefix shingle are filtered by size and by the
    shingle's places, which bound the overlap; the pairs left are expanded to
-   their classes, which are verified by intersecting the whole sets.
+   their classes. Counts of each set's shingles in CELLS cells bound the overlap
+   again, and the pairs left are verified by intersecting the whole sets.
 
 Only components are asked for, so a pair needs no verification once its ends are
 known to be connected. First each posting list is compared with one pivot (the
@@ -34,34 +36,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.llm.common import U64, cut, dropped, mixed, slices, written
+from evalspark.llm.common import U64, bitmap, cut, dropped, in_bitmap, maybe_in, mixed, slices, written
 from evalspark.llm.graph import components
 from evalspark.llm.shingles import set_key, shingle_sets
 
 WORDS, NUM, DEN = 5, 80, 100
-PART_BYTES = 8 << 20
-#: The size of the list of frequent shingles, and the least share of a task's documents that proposes one.
-HEAVY, HEAVY_SHARE = 1 << 16, 1 / 1024
+PART_BYTES = 2 << 20
+#: The size of the list of frequent shingles.
+HEAVY = 1 << 18
+#: A set's outline counts its shingles in so many cells by hash.
+CELLS = 256
+
+
+def outline(shingles: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each cell. Two sets share no more than the sum of the smaller counts."""
+    return np.bincount((shingles >> U64(20)).astype(np.int64) % CELLS, minlength=CELLS).astype("<u4").tobytes()
 
 
 def _survey(words: int):
-    """Rows (kind 0) of doc_id, set size and class; rows (kind 1) of a shingle and its documents in this task's part."""
+    """Rows (kind 0) of doc_id, set size, class and outline; rows (kind 1) of a shingle and its documents in this batch."""
 
     def survey(batches):
         for batch in batches:
+            distinct: dict[int, np.ndarray] = {}
             for some in slices(batch, "text", PART_BYTES):
                 sets = shingle_sets(some.column("text"), words)
                 ids = some.column("doc_id").to_pylist()
-                sizes = [len(s) for s in sets]
                 # a document without shingles is a class of its own
                 keys = [set_key(s) if len(s) else int(mixed(np.array([hash(d)], np.int64).view(U64)).view(np.int64)[0]) for s, d in zip(sets, ids, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([0] * len(ids), pa.int32()), some.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], ["kind", "doc_id", "n", "key"])
-                # copies within the part are counted once, as they are one class
-                distinct = list({k: s for k, s in zip(keys, sets, strict=True)}.values())
-                found, counts = np.unique(np.concatenate(distinct), return_counts=True) if distinct else (np.zeros(0, U64), np.zeros(0, np.int64))
-                common = counts >= max(2, len(distinct) * HEAVY_SHARE)
-                m = int(common.sum())
-                yield pa.RecordBatch.from_arrays([pa.array([1] * m, pa.int32()), pa.nulls(m, some.schema.field("doc_id").type), pa.array(counts[common], pa.int64()), pa.array(found[common].view(np.int64), pa.int64())], ["kind", "doc_id", "n", "key"])
+                # copies within the batch are counted once, as they are one class
+                distinct |= zip(keys, sets, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([0] * len(ids), pa.int32()), some.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array([outline(s) for s in sets], pa.binary())], ["kind", "doc_id", "n", "key", "outline"])
+            if distinct:
+                found, counts = np.unique(np.concatenate([*distinct.values()]), return_counts=True)
+                found, counts = found[counts > 1], counts[counts > 1]
+                m = len(found)
+                yield pa.RecordBatch.from_arrays([pa.array([1] * m, pa.int32()), pa.nulls(m, batch.schema.field("doc_id").type), pa.array(counts, pa.int64()), pa.array(found.view(np.int64), pa.int64()), pa.nulls(m, pa.binary())], ["kind", "doc_id", "n", "key", "outline"])
 
     return survey
 
@@ -81,11 +91,14 @@ def _ordered_prefix(shingles: np.ndarray, weights: np.ndarray, length: int) -> n
     return np.concatenate([light, shingles[heavy]])
 
 
-def _postings(words: int, num: int, den: int, heavy):
-    """Rows of (shingle, place, group, n, class) for every prefix; a class's first row in a task only."""
+def _postings(words: int, num: int, den: int, heavy, shared=None):
+    """Rows of (shingle, place, group, n, class) for every prefix; a class's first row in a task only.
+
+    ``shared`` is a bitmap of shingles: the others are left out.
+    """
 
     def postings(batches):
-        hashes, counts = (np.frombuffer(x, t) for x, t in zip(heavy.value, (U64, np.int64), strict=True))
+        hashes, counts = heavy.value
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             for some in slices(batch, "text", PART_BYTES):
@@ -105,18 +118,15 @@ def _postings(words: int, num: int, den: int, heavy):
                     # the group is told by the prefix, in order, and the size
                     group = mixed(prefix * np.arange(1, 2 * len(prefix), 2, dtype=U64)).sum(dtype=U64, keepdims=True) + U64(len(s))
                     found.append((prefix, int(group.view(np.int64)[0]), *own))
+                if not found:
+                    continue
                 lengths = [len(x[0]) for x in found]
-                repeat = lambda k: np.repeat(np.array([x[k] for x in found], np.int64), lengths)  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([x[0] for x in found]).view(np.int64) if found else [], pa.int64()),
-                        pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in lengths]) if found else [], pa.int32()),
-                        pa.array(repeat(1), pa.int64()),
-                        pa.array(repeat(3), pa.int64()),
-                        pa.array(repeat(2), pa.int64()),
-                    ],
-                    ["shingle", "place", "group", "n", "key"],
-                )
+                shingle = np.concatenate([x[0] for x in found])
+                place = np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])
+                rows = np.arange(len(shingle)) if shared is None else np.flatnonzero(in_bitmap(shared.value, shingle))
+                of = np.repeat(np.arange(len(found)), lengths)[rows]
+                column = lambda k: pa.array(np.array([x[k] for x in found], np.int64)[of], pa.int64())  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([pa.array(shingle[rows].view(np.int64)), pa.array(place[rows]), column(1), column(3), column(2)], ["shingle", "place", "group", "n", "key"])
 
     return postings
 
@@ -131,6 +141,18 @@ def _sets(words: int):
     return sets
 
 
+def _may_overlap(num: int, den: int):
+    """Keeps the pairs whose outlines allow enough common shingles."""
+
+    def may(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, CELLS).astype(np.int64) for c in ("s1", "s2"))
+            most, sizes = np.minimum(a, b).sum(axis=1), a.sum(axis=1) + b.sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2")], ["k1", "k2"]).filter(pa.array((den + num) * most >= num * sizes))
+
+    return may
+
+
 def _verified(num: int, den: int):
     def verified(batches):
         for batch in batches:
@@ -156,21 +178,23 @@ def similar_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    survey = written(texts.mapInArrow(_survey(words), f"kind int, doc_id {kind}, n long, key long"), "survey")
+    survey = written(texts.mapInArrow(_survey(words), f"kind int, doc_id {kind}, n long, key long, outline binary"), "survey")
     members = survey.where("kind = 0").select("doc_id", "n", "key")
     classes = members.groupBy("key", "n").agg(F.min("doc_id").alias("first"))
 
     # HEAVY rows at most, whatever the corpus: a list of fixed size is all that is broadcast
-    frequent = survey.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(HEAVY).collect()
-    by_hash = sorted((r["key"] % (1 << 64), r["n"]) for r in frequent)
-    heavy = spark.sparkContext.broadcast((np.array([x[0] for x in by_hash], U64).tobytes(), np.array([x[1] for x in by_hash], np.int64).tobytes()))
-    postings = texts.mapInArrow(_postings(words, num, den, heavy), "shingle long, place int, group long, n long, key long")
+    frequent = survey.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(HEAVY).toArrow()
+    hashes, counts = frequent["key"].to_numpy().view(U64), frequent["n"].to_numpy()
+    by_hash = np.argsort(hashes)
+    heavy = spark.sparkContext.broadcast((hashes[by_hash], counts[by_hash]))
+    postings = lambda *bits: texts.mapInArrow(_postings(words, num, den, heavy, *bits), "shingle long, place int, group long, n long, key long")
     # copies in different tasks post the same class; lists of one class need no look
-    shared = postings.groupBy("shingle").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("shingle")
-    listed = written(postings.join(shared, "shingle").distinct(), "listed")
+    shared = postings().groupBy("shingle").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("shingle")
+    shared = written(shared, "shared")
+    listed = written(postings(spark.sparkContext.broadcast(bitmap(shared, "shingle"))).join(shared, "shingle").distinct(), "listed")
 
     entries = listed.select("shingle", "place", "group", "n").distinct()
-    groups = cut(listed.select("group", "n", "key").distinct())
+    groups = written(listed.select("group", "n", "key").distinct(), "groups")
     leaders = groups.groupBy("group", "n").agg(F.min("key").alias("leader"))
     pivots = entries.groupBy("shingle").agg(F.min(F.struct("place", "group", "n")).alias("p")).select("shingle", F.col("p.place").alias("place2"), F.col("p.group").alias("group2"), F.col("p.n").alias("n2"))
     named = lambda df, k: df.select(*[F.col(c).alias(f"{c}{k}") if c != "shingle" else F.col(c) for c in df.columns])
@@ -182,21 +206,31 @@ def similar_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     within = groups.join(leaders, ["group", "n"]).where("key != leader").select(F.col("key").alias("k1"), F.col("leader").alias("k2"))
     ordered = lambda df: df.select(F.least("k1", "k2").alias("k1"), F.greatest("k1", "k2").alias("k2")).where("k1 != k2").distinct()
 
-    # the whole sets of all classes in a list, from the texts of the classes' first documents
-    wanted = groups.select("key").distinct().join(classes, "key").select(F.col("first").alias("doc_id"), "key")
-    sets = written(texts.join(wanted, "doc_id").select("key", "text").dropDuplicates(["key"]).mapInArrow(_sets(words), "key long, shingles binary"), "sets")
+    def sides(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+        """Pairs with both classes' values of a column, as s1 and s2."""
+        side = lambda k: table.select(F.col("key").alias(f"k{k}"), F.col(column).alias(f"s{k}"))
+        return pairs.join(side(1), "k1").join(side(2), "k2").select("k1", "k2", "s1", "s2")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        side = lambda k: sets.select(F.col("key").alias(f"k{k}"), F.col("shingles").alias(f"s{k}"))
-        return pairs.join(side(1), "k1").join(side(2), "k2").mapInArrow(_verified(num, den), "k1 long, k2 long")
+    def keys_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("k1", "k2")).alias("key")).distinct()
 
-    tested = cut(ordered(across.union(within)))
-    links = cut(verify(tested))
+    def verify(pairs: DataFrame) -> DataFrame:
+        """The pairs whose whole sets are similar enough; sets are made of the texts of the pairs that outlines leave."""
+        outlines = survey.where("kind = 0").select("key", "outline").join(keys_of(pairs), "key", "left_semi").dropDuplicates(["key"])
+        left = written(sides(pairs, outlines, "outline").mapInArrow(_may_overlap(num, den), "k1 long, k2 long"), "left")
+        wanted = cut(keys_of(left).join(classes, "key").select(F.col("first").alias("doc_id"), "key"))
+        sets = written(maybe_in(texts, "doc_id", wanted).join(wanted, "doc_id").select("key", "text").dropDuplicates(["key"]).mapInArrow(_sets(words), "key long, shingles binary"), "sets")
+        links = written(sides(left, sets, "shingles").mapInArrow(_verified(num, den), "k1 long, k2 long"), "links")
+        dropped(left, sets)
+        return links
+
+    tested = written(ordered(across.union(within)), "tested")
+    links = verify(tested)
     found = cut(components(links.select(F.col("k1").alias("a"), F.col("k2").alias("b"))))
 
     # whole: the pairs in a list or group whose ends are still in different components
     label = lambda df: df.join(found.withColumnRenamed("id", "key"), "key", "left").withColumn("label", F.coalesce("component_id", "key")).drop("component_id")
-    labelled = cut(label(groups))
+    labelled = written(label(groups), "labelled")
     spread = labelled.groupBy("group", "n").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     ranged = entries.join(spread, ["group", "n"])
     open_lists = ranged.groupBy("shingle").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a != b").select("shingle")
@@ -211,7 +245,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     inner = spread.where("low != high").select(F.col("group").alias("group1"), F.col("n").alias("n1"), F.col("group").alias("group2"), F.col("n").alias("n2"))
     expanded = lambda k: labelled.select(F.col("group").alias(f"group{k}"), F.col("n").alias(f"n{k}"), F.col("key").alias(f"k{k}"), F.col("label").alias(f"label{k}"))
     rest = pairs.union(inner).join(expanded(1), ["group1", "n1"]).join(expanded(2), ["group2", "n2"]).where("label1 != label2").select("k1", "k2")
-    more = cut(verify(ordered(rest).join(tested, ["k1", "k2"], "left_anti")))
+    more = verify(written(ordered(rest).join(tested, ["k1", "k2"], "left_anti"), "rest"))
     # the components found are contracted, so only the new links between them are followed
     ends = lambda k: found.select(F.col("id").alias(f"k{k}"), F.col("component_id").alias(f"c{k}"))
     bridges = more.join(ends(1), "k1", "left").join(ends(2), "k2", "left").select(F.coalesce("c1", "k1").alias("a"), F.coalesce("c2", "k2").alias("b"))
@@ -221,6 +255,6 @@ def similar_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     joined = joined.join(merged.withColumnRenamed("id", "c"), "c", "left").withColumn("c", F.coalesce("component_id", "c")).drop("component_id")
     # a class is told by key and size; sets of no shingles have keys of their own and no links
     smallest = cut(joined.groupBy("c").agg(F.min("first").alias("component_id")).join(joined, "c").select("key", "n", "component_id"))
-    dropped(listed, sets)
+    dropped(shared, listed, groups, tested, labelled)
     # a class may hold a third of all rows: this join's keys are split by the adaptive skew join
     return members.join(smallest, ["key", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")

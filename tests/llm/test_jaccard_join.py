@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from evalspark.llm.jaccard_join import prefix_length, similar_components
+from evalspark.llm.jaccard_join import CELLS, outline, prefix_length, similar_components
 from evalspark.llm.shingles import shingle_sets
 from helpers import AWKWARD, DOC, shingles, similar
 
@@ -72,3 +72,12 @@ def test_shingles_are_of_bytes_between_ascii_space():
 
 def test_prefix_length():
     assert [prefix_length(n, 90, 100) for n in (1, 9, 10, 11, 20)] == [1, 1, 2, 2, 3]
+
+
+def test_outlines_bound_the_overlap():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        a, b = (np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64)) for _ in "ab")
+        b = np.unique(np.concatenate([b, a[: rng.integers(0, 400)]]))
+        x, y = (np.frombuffer(outline(s), "<u4") for s in (a, b))
+        assert len(x) == CELLS and x.sum() == len(a) and np.minimum(x, y).sum() >= len(np.intersect1d(a, b))
