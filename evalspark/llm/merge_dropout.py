@@ -47,11 +47,11 @@ NEVER, LITERAL = 1 << 40, "\udc81"
 RANK_KEY, PLACE_KEY, SKIP_KEY = BASE, *MIX
 #: From this length on a word's agenda is a heap.
 HEAP_FROM = 40
-PART_BYTES = 3 << 20
+PART_BYTES = 2 << 20
 #: So many words have their agendas processed in step.
 STEP = 8192
 #: Segmentations that a Python worker keeps in each of two generations, and the longest word kept.
-MEMO, MEMO_WORD = 250_000, 60
+MEMO, MEMO_WORD = 200_000, 60
 
 _models: dict[str, Model] = {}
 _memos: dict[tuple, dict] = {}
@@ -347,19 +347,36 @@ class Encoder:
         return self.model.decode(ids.tolist()) if len(ids) else ""
 
 
-def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 0, lanes: int = LANES, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, text) to doc_id and ids array<int>; no shuffle."""
+def _said(rows: list[np.ndarray], m: Model) -> list[pa.Array]:
+    """n_tokens, ids_crc32 and text of id arrays."""
+    return [
+        pa.array([len(x) for x in rows], pa.int64()),
+        pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in rows], pa.int64()),
+        pa.array([m.decode(x.tolist()) if len(x) else "" for x in rows], pa.string()),
+    ]
+
+
+SAID = ("n_tokens", "ids_crc32", "text")
+
+
+def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 0, lanes: int = LANES, vocabulary: str = VOCABULARY, decoded: bool = False) -> DataFrame:
+    """(doc_id, text) to doc_id and ids array<int>; no shuffle.
+
+    ``decoded`` adds what :func:`decode` says of the ids, without sending them through a second Python worker.
+    """
 
     def encoded(batches):
         coder = Encoder(dropout, seed, lanes, vocabulary)
         for batch in batches:
             for some in slices(batch, "text", PART_BYTES):
                 ids = coder.encode_all(some.column("doc_id").to_pylist(), some.column("text").to_pylist())
-                flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), list_array(flat, np.array([len(x) for x in ids], np.int64), pa.int32())], ["doc_id", "ids"])
+                flat = np.concatenate(ids).astype(np.int32)
+                columns = [some.column("doc_id"), list_array(flat, np.array([len(x) for x in ids], np.int64), pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns + (_said(ids, coder.model) if decoded else []), ["doc_id", "ids", *(SAID if decoded else ())])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(encoded, f"doc_id {kind}, ids array<int>")
+    schema = f"doc_id {kind}, ids array<int>" + (", n_tokens long, ids_crc32 long, text string" if decoded else "")
+    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(encoded, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -370,14 +387,9 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         m = model(vocabulary)
         for batch in batches:
             lists = batch.column("ids").fill_null([])
-            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            rows = [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)] if len(ends) else []
-            added = [
-                pa.array([len(x) for x in rows], pa.int64()),
-                pa.array([zlib.crc32(x.tobytes()) for x in rows], pa.int64()),
-                pa.array([m.decode(x.tolist()) if len(x) else "" for x in rows], pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "n_tokens", "ids_crc32", "text"])
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64).tolist()
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            rows = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, *_said(rows, m)], [*batch.schema.names, *SAID])
 
     return encoded.mapInArrow(decoded, schema)

@@ -11,7 +11,7 @@ from evalspark.llm import quality
 from evalspark.llm.chat_format import END, LOSS_ROLE, MORE, TEXT, TURN, format_conversations, read_back
 from evalspark.llm.common import table
 from evalspark.llm.jaccard_join import similar_components
-from evalspark.llm.merge_dropout import decode, encode
+from evalspark.llm.merge_dropout import encode
 from evalspark.llm.near_vectors import near_vectors
 from evalspark.llm.packing import pack
 from evalspark.llm.sharding import shard_by_groups
@@ -27,7 +27,7 @@ PROBE_ID, PROBE_TEXT = -7, "\\### Assistant: </turn> ok"
 
 def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids with merge-dropout, and a digest of what they decode to."""
-    coded = decode(encode(table(spark, sf_dir, "documents"), DROPOUT, DROPOUT_SEED))
+    coded = encode(table(spark, sf_dir, "documents"), DROPOUT, DROPOUT_SEED, decoded=True)
     return coded.select("doc_id", "ids", "n_tokens", "ids_crc32", F.octet_length("text").cast("long").alias("decoded_bytes"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
@@ -138,6 +138,18 @@ ORACLE_SQL: dict[str, str] = {
         n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
         SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
         FROM v JOIN c ON c.id = v.vec_id LEFT JOIN n ON n.a = v.vec_id""",
+    "op9_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS l
+          FROM documents
+        ), s AS (
+          SELECT doc_id, CASE WHEN len(l) >= 3 THEN list_distinct(list_transform(range(1, len(l) - 1), lambda i: l[i] || ' ' || l[i + 1] || ' ' || l[i + 2]))
+            WHEN len(l) > 0 THEN [array_to_string(l, ' ')] ELSE [] END AS t FROM w
+        ), p AS (SELECT doc_id, len(t) AS n, unnest(t) AS x FROM s),
+        i AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM p a JOIN p b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM i WHERE 100 * c >= 90 * (na + nb - c)),
+        reach(id, node) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.node = l.a)
+        SELECT s.doc_id, CAST(len(t) AS BIGINT) AS n_shingles, min(node) AS component_id FROM s JOIN reach ON id = s.doc_id GROUP BY ALL""",
     "op10_chat_format": rf"""
         WITH t AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -61,6 +61,8 @@ def test_on_a_table(spark):
     back = {r["doc_id"]: r for r in decode(encode(docs, 0.1, 3)).collect()}
     assert {d: r["text"] for d, r in back.items()} == {r[0]: r[1] or "" for r in AWKWARD} | {None: "no id"}
     assert all(r["n_tokens"] == len(r["ids"]) for r in back.values())
+    once = {r["doc_id"]: r.asDict() for r in encode(docs, 0.1, 3, decoded=True).collect()}
+    assert once == {d: r.asDict() for d, r in back.items()}
     assert decode(encode(docs.limit(0))).collect() == []
 
 
