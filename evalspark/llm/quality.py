@@ -34,8 +34,8 @@ from evalspark.llm.shingles import word_spans
 
 LABELLED, POOL, ROUNDS = 4000, 4000, 5
 PAIRS, META = 512, 128
-CONFIDENT, PER_ROUND = 0.97, 200
-PART_BYTES = 8 << 20
+CONFIDENT, PER_ROUND = 0.95, 200
+PART_BYTES = 2 << 20
 HELD_OUT = 4
 #: A document is accepted from this probability of quality on.
 ACCEPT = 0.4
@@ -141,7 +141,7 @@ def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, held: np.nd
     sets = [[(labelled[v][~held], y[~held], np.ones(int((~held).sum())))] for v in (0, 1)]
     free = [np.ones(len(pool[0]), bool), np.ones(len(pool[0]), bool)]
     exchanged: list[tuple[int, int]] = []
-    models = [Logistic(), Logistic(10.0)]
+    models = [Logistic(), Logistic()]
     for turn in range(rounds + 1):
         for v in (0, 1):
             models[v].fit(*(np.concatenate([s[k] for s in sets[v]]) for k in range(3)))

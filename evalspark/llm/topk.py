@@ -1,14 +1,14 @@
 """Exact top-k search by block-at-a-time pruning.
 
-A vector's components are terms, and the integer inner product is the score. A
-candidate cell (a range of rows) is cut into blocks of ``BLOCK`` documents in
+A vector's components are terms, and the integer inner product is the score.
+The candidates of a cell are cut into blocks, which are ranges of BLOCK rows in
 vec_id order. Each block keeps, per term, the largest and smallest weight in
 it. For a query the sum of its terms' best products bounds every score in the
 block; blocks are scored in the order of falling bounds, through the block's
 forward index, until the next bound falls below the query's k-th score.
 
-Queries and candidates meet in a grid of cells: a cell holds at most about
-CELL candidates and QUERIES queries, so memory is bounded at every size, and
+Queries and candidates meet in a grid of cells: a cell holds about CELL
+candidates and QUERIES queries at most, so memory is bounded at every size, and
 the best k of each cell are merged by one aggregation. This is the stated query
 set against all rows, in blocks.
 
@@ -16,16 +16,16 @@ Defined cases: null vectors, those with null or non-finite components, and rows
 with a null vec_id take no part; only vectors of equal length are compared;
 every row with the query's own vec_id is the query's own; repeated rows are
 candidates each and one query; different vectors under one query id are
-searched each, and the best k of all are kept; ties go to the smaller vec_id; fewer than k candidates give
-all; empty tables give an empty result; further columns are ignored. Scores are
-exact integers: products that float64 can't hold exactly are computed with
-Python integers, and a score beyond a long raises an error.
+searched each, and the best k of all are kept; ties go to the smaller vec_id;
+fewer than k candidates give all; empty tables give an empty result; further
+columns are ignored. Scores are exact integers: products that float64 can't
+hold exactly are computed with Python integers, and a score beyond a long
+raises an error.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +39,7 @@ FOUND = "query_id long, vec_id long, score long"
 EXACT = 1 << 20
 
 
-def quantised(vectors: pd.Series) -> np.ndarray:
+def quantised(vectors: list) -> np.ndarray:
     """floor(SCALE * x) of equally long vectors, as float64 integers."""
     return np.floor(SCALE * np.stack([np.asarray(v, np.float64) for v in vectors]))
 
