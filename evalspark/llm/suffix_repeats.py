@@ -42,8 +42,10 @@ from evalspark.llm.common import U64, cut, dropped, mixed, release, shared_folde
 LENGTH = 100
 GRAM = 32
 #: Texts are read in parts of so many bytes; places in a part fit in 24 bits.
-PART_BYTES = 6 << 20
+PART_BYTES = 2 << 20
 _PLACE_BITS = 24
+#: About so many contexts of whole anchors have their suffixes sorted at a time.
+RUN_ROWS = 5000
 #: Rows of an anchor as raw bytes; ``off`` is the anchor's distance from the first window it owns.
 ANCHOR = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("at", "<u4"), ("off", "<u2"), ("more", "<u2")])
 
@@ -163,9 +165,24 @@ def _context_keys(rows: np.ndarray, data: np.ndarray, starts: np.ndarray, ends:
     return mixed(span_hashes(data, starts, ends) + rows["hash"] * U64(3) + rows["off"].astype(U64))
 
 
-def _whole_spans(rows: np.ndarray, length: int) -> pa.Table:
+def _whole_spans(rows: np.ndarray, length: int) -> np.ndarray:
+    """Document, start and end of whole contexts."""
     at = rows["at"].astype(np.int64)
-    return pa.table({"doc_id": pa.array(rows["doc"], pa.int64()), "start": pa.array(at, pa.int64()), "end": pa.array(at + rows["more"] + length, pa.int64())})
+    return np.stack([rows["doc"], at, at + rows["more"] + length]) if len(rows) else np.zeros((3, 0), np.int64)
+
+
+def _by_runs(spans: np.ndarray) -> np.ndarray:
+    """Spans (document, start, end), those of a document merged to maximal runs."""
+    docs, number = np.unique(spans[0], return_inverse=True)
+    # far apart by document, so that one pass merges all
+    base = number.astype(np.int64) << 32
+    starts, ends = merged_spans(base + spans[1], base + spans[2])
+    low = (1 << 32) - 1
+    return np.stack([docs[starts >> 32], starts & low, ends & low]) if len(starts) else np.zeros((3, 0), np.int64)
+
+
+def _span_table(spans: np.ndarray) -> pa.Table:
+    return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("doc_id", "start", "end"), _by_runs(spans), strict=True)})
 
 
 def _contexts(length: int, buckets: int):
@@ -181,8 +198,8 @@ def _contexts(length: int, buckets: int):
                 starts = base + rows["at"]
                 ends = starts + rows["more"] + length
                 firsts, others = _folded(rows, _context_keys(rows, data, starts, ends))
-                spans = _whole_spans(rows[others], length)
-                n = len(others)
+                spans = _span_table(_whole_spans(rows[others], length))
+                n = spans.num_rows
                 yield from _batches(pa.table({"bucket": pa.nulls(n, pa.int32()), "rows": pa.nulls(n, pa.binary()), "contexts": pa.nulls(n, pa.binary())} | {c: spans[c] for c in spans.column_names}))
                 firsts = np.sort(firsts)
                 found = []
@@ -270,7 +287,7 @@ def _removed(length: int):
         ends = np.cumsum(sizes)
         starts = ends - sizes
         firsts, others = _folded(rows, _context_keys(rows, data, starts, ends))
-        out = [_whole_spans(rows[others], length)]
+        spans = [_whole_spans(rows[others], length)]
         # anchors left with one class have no other occurrence
         by_hash = firsts[np.argsort(rows["hash"][firsts], kind="stable")]
         h = rows["hash"][by_hash]
@@ -281,17 +298,20 @@ def _removed(length: int):
         several = by_hash[same]
         own, own_starts = rows[several], starts[several]
         docs, ats = own["doc"].astype(np.int64), own["at"].astype(np.int64)
-        spans: list[np.ndarray] = []
         # anchors with few contexts at a time bound the suffix arrays
-        for a, b in _runs(own["hash"], 20_000):
+        for a, b in _runs(own["hash"], RUN_ROWS):
+            # the longest interval in which a suffix isn't the first; one number for each suffix, however the intervals nest
+            longest = np.zeros((b - a, int(own["more"][a:b].max()) + 1), np.uint32)
             for size, at, delta in maximal_repeats(own[a:b], data, own_starts[a:b], length):
                 doc, place = docs[a:b][at], ats[a:b][at] + delta
                 least = doc.min()
-                first = (doc == least) & (place == place[doc == least].min())
-                spans.append(np.stack([doc[~first], place[~first], place[~first] + size]))
-        found = np.unique(np.concatenate(spans, axis=1), axis=1) if spans else np.zeros((3, 0), np.int64)
-        out.append(pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("doc_id", "start", "end"), found, strict=True)}))
-        return pa.concat_tables(out)
+                later = (doc != least) | (place != place[doc == least].min())
+                at, delta = at[later], delta[later]
+                longest[at, delta] = np.maximum(longest[at, delta], size)
+            at, delta = np.nonzero(longest)
+            start = ats[a:b][at] + delta
+            spans.append(_by_runs(np.stack([docs[a:b][at], start, start + longest[at, delta]])))
+        return _span_table(np.concatenate(spans, axis=1))
 
     return removed
 
