@@ -68,8 +68,14 @@ def _survey(words: int):
                 distinct |= zip(keys, sets, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array([0] * len(ids), pa.int32()), some.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array([outline(s) for s in sets], pa.binary())], ["kind", "doc_id", "n", "key", "outline"])
             if distinct:
-                found, counts = np.unique(np.concatenate([*distinct.values()]), return_counts=True)
-                found, counts = found[counts > 1], counts[counts > 1]
+                flat = np.concatenate([*distinct.values()])
+                distinct.clear()
+                flat.sort()
+                # the runs of equal shingles, without arrays of those that occur once
+                same = np.zeros(len(flat) + 1, bool)
+                same[1:-1] = flat[1:] == flat[:-1]
+                starts = np.flatnonzero(~same[:-1] & same[1:])
+                found, counts = flat[starts], np.flatnonzero(same[:-1] & ~same[1:]) - starts + 1
                 m = len(found)
                 yield pa.RecordBatch.from_arrays([pa.array([1] * m, pa.int32()), pa.nulls(m, batch.schema.field("doc_id").type), pa.array(counts, pa.int64()), pa.array(found.view(np.int64), pa.int64()), pa.nulls(m, pa.binary())], ["kind", "doc_id", "n", "key", "outline"])
 
