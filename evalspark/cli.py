@@ -6,6 +6,7 @@ import argparse
 import logging
 
 from evalspark.operators.privacy import load_key
+from evalspark.operators.stats import observed
 from evalspark.operators.topics import HashingEncoder
 from evalspark.plans.pipeline import EvaluationPipeline
 from evalspark.session import local_session
@@ -86,7 +87,9 @@ def main(argv: list[str] | None = None) -> int:
         key = load_key(args.aesgcm_key_env) if args.encrypt else None
         earlier = load(spark, args.input_excel) if getattr(args, "input_excel", None) else None
         found = pipeline.extract(_sources(args), args.suffix, earlier, args.anonymize, key, args.encrypt)
-        log.info("extracted to %s", write_tables({"extracted": found.reports, "files": found.files, "errors": found.errors}, args.output_dir, skip_empty=False))
+        reports, seen = observed(found.reports, "reports")
+        paths = write_tables({"extracted": reports, "files": found.files, "errors": found.errors}, args.output_dir, skip_empty=False)
+        log.info("extracted %d reports to %s", seen.get["n"], paths)
         reports = spark.read.parquet(f"{args.output_dir}/extracted")
         if getattr(args, "export", None):
             log.info("exported to %s", export(reports, args.export))

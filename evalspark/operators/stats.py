@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -49,3 +49,9 @@ def exact_quantiles(df: DataFrame, group: str, value: str, quantiles: dict[str,
     found = near.groupBy("_g", "_n", "q", "at").agg(F.min_by("_v", "_r").alias("a"), F.max_by("_v", "_r").alias("b"))
     point = F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))
     return found.groupBy(F.col("_g").alias(group), F.col("_n").alias("n")).agg(*[F.max(F.when(F.col("q") == n, point)).alias(n) for n in names])
+
+
+def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
+    """``df`` and an observation whose ``get`` has ``n``, its rows, once an action has run: counts without a job of their own."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,3 +52,11 @@ def without_nan(df: DataFrame) -> DataFrame:
     """Null in place of NaN in all floating-point columns, for tables that come from pandas or spreadsheets."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
     return df.withColumns({n: F.when(~F.isnan(F.col(f"`{n}`")), F.col(f"`{n}`")) for n in floats})
+
+
+def report_frame(spark: SparkSession, records: list[dict]) -> DataFrame:
+    """Reports from dictionaries: fields that a record lacks are null, others are ignored, none gives an empty table."""
+    kinds = {f.name: float if isinstance(f.dataType, T.DoubleType) else str for f in REPORT_SCHEMA}
+    missing = lambda v: v is None or v != v
+    rows = [tuple(None if missing(r.get(n)) else kind(r[n]) for n, kind in kinds.items()) for r in records]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)

@@ -6,7 +6,8 @@ import pytest
 from evalspark import cli
 from evalspark.operators.summarize import OUT_OF_MEMORY, ExtractiveSummarizer, build_prompt, generate_all, summarize, summarize_sheets
 from evalspark.plans.pipeline import EvaluationPipeline
-from evalspark.schema import without_nan
+from evalspark.operators.stats import observed
+from evalspark.schema import REPORT_SCHEMA, report_frame, without_nan
 from evalspark.sources.archives import Limits, PlainTextDecoder, SimplePdfDecoder, copy_files, error_log, expand_archives, file_log, read_archives, walk_archive
 from evalspark.sources.tables import convert_workbook, export, load, result_path, save_results, write_tables
 from evalspark.sources.xlsx import read_workbook, write_workbook
@@ -163,3 +164,13 @@ def test_command_line(spark, folder, monkeypatch):
         cli.main(["extract"])
     with pytest.raises(ValueError):
         cli.main(["extract", "--zips", str(folder / "in/b.zip"), "--encrypt", "--aesgcm-key-env", "ABSENT"])
+
+
+def test_records_and_counts(spark):
+    frame = report_frame(spark, [{"Call": "C", "Number": 101012345, "Total Score": 14.5, "S_Impact": float("nan"), "other": 1}])
+    row = frame.first()
+    assert (row["Number"], row["Total Score"], row["S_Impact"], row["Title"]) == ("101012345", 14.5, None, None)
+    assert report_frame(spark, []).schema == REPORT_SCHEMA and report_frame(spark, []).count() == 0
+    df, seen = observed(frame)
+    df.collect()
+    assert seen.get == {"n": 1}
