@@ -2,25 +2,28 @@
 
 Merge-type segmentation with an agenda: all adjacent symbol pairs that form a
 piece are candidates, the best-ranked (then leftmost) is taken, and the new
-neighbours become candidates. A candidate taken from the agenda is skipped when
-a keyed hash of (seed, lane, word, place, piece) falls below ``dropout``; a
-skipped merge may come up again only as part of other pairs. So equal words get
-varied segmentations that are the same on every run and every cluster. Without
-dropout the ids equal the library's own encoding.
-
-The lane is a number below LANES drawn by hash from the seed, the document and
-the word's place in it; it bounds the segmentations that one seed gives a word.
-Segmentations are kept by (lane, word) in a bounded memo, as most words of a
-corpus repeat. The agendas of the words that a part of a batch has besides are
-processed in step, as rows of arrays; long words and those with characters that
-only bytes spell have an agenda of their own (a heap where they are long), with
-equal results.
+neighbours become candidates. Each candidate taken from the agenda is skipped
+with chance ``dropout``; a skipped merge may come up again only as part of
+other pairs. Skips are drawn for every occurrence of a word by itself: the
+numbers of candidates merged until the next skip come from a keyed hash of
+(seed, document, the word's place in it, number of the draw), by the geometric
+distribution. So equal words get varied segmentations, without a bound on their
+number, that are the same on every run and every cluster. Without dropout the
+ids equal the library's own encoding.
+
+What a word becomes without a skip, and with just one after so many merges,
+depends on no draw and is kept in bounded memos, as most words of a corpus
+repeat; an occurrence takes it if its own draws come to that, and is segmented
+by itself if not. The agendas of the words that a part of a batch has besides
+are processed in step, as rows of arrays; long words and those with characters
+that only bytes spell have an agenda of their own (a heap where they are long),
+with equal results.
 
 Lossless: the word mark itself in a text is spelled by byte pieces, and so is
 every character without a piece, so ``decode`` returns every text exactly.
 
 Defined cases: a null text is the empty text, which has no ids; texts are
-encoded whole; a null doc_id draws lanes like id 0, and repeated doc_ids with
+encoded whole; a null doc_id draws skips like id 0, and repeated doc_ids with
 equal texts have equal ids; an empty table gives an empty result; columns
 beside doc_id and text are ignored.
 """
@@ -30,31 +33,37 @@ from __future__ import annotations
 import heapq
 import zlib
 from array import array
+from bisect import bisect_right
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from evalspark.llm.common import BASE, MIX, U64, powers, list_array, mixed, slices
+from evalspark.llm.common import BASE, MIX, U64, list_array, mixed, slices
 
 MARK = "▁"
 VOCABULARY = "piece_bpe_32k"
-LANES = 4
 #: No candidate. A mark that is a character of the text stands as LITERAL, which no piece has, while it is segmented.
 NEVER, LITERAL = 1 << 40, "\udc81"
-#: Multipliers of a candidate's keyed hash.
-RANK_KEY, PLACE_KEY, SKIP_KEY = BASE, *MIX
+#: Multipliers of an occurrence's place and of a draw's number.
+PLACE_KEY, DRAW_KEY = MIX[1], BASE
+#: A draw tells at most so many merges; the next draw goes on from there. More than the candidates of any word processed in step.
+MOST_GAP = 1 << 12
 #: From this length on a word's agenda is a heap.
 HEAP_FROM = 40
 PART_BYTES = 2 << 20
 #: So many words have their agendas processed in step.
 STEP = 8192
-#: Segmentations that a Python worker keeps in each of two generations, and the longest word kept.
-MEMO, MEMO_WORD = 200_000, 60
+#: Segmentations that each of the two memos of a Python worker keeps before it starts anew, and characters of their words on average.
+MEMO, MEMO_CHARS = 400_000, 20
+#: No candidate, as an agenda in step has it.
+NONE = 1 << 30
 
 _models: dict[str, Model] = {}
-_memos: dict[tuple, dict] = {}
+_memos: dict[str, tuple[Memo, Memo]] = {}
+_gaps: dict[int, np.ndarray] = {}
 
 
 class Model:
@@ -98,56 +107,59 @@ class Model:
                     pairs[left << 16 | right] = (self.rank[piece], i)
         keys = np.array(sorted(pairs), np.uint64)
         self.pair_keys = keys
-        self.pair_ranks = np.array([pairs[k][0] for k in keys.tolist()], np.int64)
+        self.pair_ranks = np.array([pairs[k][0] for k in keys.tolist()], np.int32)
         self.pair_ids = np.array([pairs[k][1] for k in keys.tolist()], np.int32)
         #: Whether any pair's hash has these leading bits; most pairs that don't merge end here.
         self.pair_has = np.zeros(1 << 22, bool)
         self.pair_has[keys * U64(BASE) >> U64(42)] = True
 
     def _merges(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ranks and ids of what symbol pairs merge to; NEVER where they don't."""
+        """Ranks and ids of what symbol pairs merge to; NONE where they don't."""
         keys = (left.astype(U64) << U64(16)) | right.astype(U64)
-        ranks, ids = np.full(len(keys), NEVER, np.int64), np.zeros(len(keys), np.int32)
+        ranks, ids = np.full(len(keys), NONE, np.int32), np.zeros(len(keys), np.int32)
         maybe = np.flatnonzero(self.pair_has[keys * U64(BASE) >> U64(42)])
         at = np.minimum(np.searchsorted(self.pair_keys, keys[maybe]), len(self.pair_keys) - 1)
         hit = self.pair_keys[at] == keys[maybe]
         ranks[maybe[hit]], ids[maybe[hit]] = self.pair_ranks[at[hit]], self.pair_ids[at[hit]]
         return ranks, ids
 
-    def segment_all(self, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-        """Agendas of many words in step. Rows of symbols (no 0 in a word) to their ids, one after the other, and counts.
+    def segment_all(self, symbols: np.ndarray, lengths: np.ndarray, first: np.ndarray, keys: np.ndarray | None = None, threshold: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Agendas of many words in step. Rows of symbols (no 0 in a word) to their ids, one after the other, their counts and the candidates taken.
 
         Row i of the agenda has the rank of the pair that starts at each place;
-        each round takes the best candidate of every word, skips or merges it.
+        each round takes the best candidate of every word. ``first`` of them are
+        merged before one is skipped; the draws of ``keys`` tell when the next
+        are, and without keys none is.
         """
         n, width = symbols.shape
         symbols = symbols.copy()
         alive = np.arange(width)[None, :] < lengths[:, None]
         right = np.tile(np.arange(1, width + 1, dtype=np.int16), (n, 1))
         left = np.tile(np.arange(-1, width - 1, dtype=np.int16), (n, 1))
-        agenda, result = np.full((n, width), NEVER, np.int64), np.zeros((n, width), np.int32)
+        agenda, result = np.full((n, width), NONE, np.int32), np.zeros((n, width), np.int32)
         row, place = np.nonzero(alive[:, 1:])
         agenda[row, place], result[row, place] = self._merges(symbols[row, place], symbols[row, place + 1])
-        rows = np.arange(n)
+        rows, wait, taken, draws = np.arange(n), first.copy(), np.zeros(n, np.int64), np.ones(n, U64)
         while len(rows):
             i = agenda[rows].argmin(axis=1)
             r = agenda[rows, i]
-            on = r < NEVER
+            on = r < NONE
             rows, i, r = rows[on], i[on], r[on]
-            if threshold:
-                h = keys[rows] + r.astype(U64) * U64(RANK_KEY) + i.astype(U64) * U64(PLACE_KEY)
-                go = ((h ^ (h >> U64(29))) * U64(SKIP_KEY)) >> U64(32) >= U64(threshold)
-                agenda[rows[~go], i[~go]] = NEVER
-                w, i = rows[go], i[go]
-            else:
-                w = rows
+            taken[rows] += 1
+            go = wait[rows] > 0
+            wait[rows] -= 1
+            w = rows[~go]
+            agenda[w, i[~go]] = NONE
+            wait[w] = NEVER if keys is None else drawn(keys[w], draws[w], threshold)
+            draws[w] += U64(1)
+            w, i = rows[go], i[go]
             j = right[w, i]
             symbols[w, i] = result[w, i]
             alive[w, j] = False
-            agenda[w, j] = NEVER
+            agenda[w, j] = NONE
             k = right[w, j].astype(np.int64)
             right[w, i] = k
-            agenda[w, i] = NEVER
+            agenda[w, i] = NONE
             more = k < lengths[w]
             u, a, b = w[more], i[more], k[more]
             left[u, b] = a
@@ -156,36 +168,42 @@ class Model:
             more = k >= 0
             u, a, b = w[more], k[more], i[more]
             agenda[u, a], result[u, a] = self._merges(symbols[u, a], symbols[u, b])
-        return symbols[alive], alive.sum(axis=1)
+        return symbols[alive], alive.sum(axis=1), taken
 
     def segment(self, word: str, marks: int, key: int, threshold: int) -> list[int]:
-        """The ids of a word whose first ``marks`` characters are word marks.
+        """The ids of a word whose first ``marks`` characters are word marks, with the skips that the key draws."""
+        return self.taken(word, marks, gaps(key, threshold, 3 * len(word)))[0]
+
+    def _segment_long(self, word: str, marks: int, key: int, threshold: int) -> list[int]:
+        return self._taken_long(word, marks, gaps(key, threshold, 3 * len(word)))[0]
+
+    def taken(self, word: str, marks: int, waits) -> tuple[list[int], int]:
+        """Ids of a word, and the candidates taken; ``waits`` are the merges before each skip.
 
         The agenda holds each adjacent pair's rank, NEVER where the pair is no
-        piece or was skipped. A candidate is skipped when its keyed 32-bit hash
-        is below threshold.
+        piece or was skipped.
         """
         if len(word) > HEAP_FROM:
-            return self._segment_long(word, marks, key, threshold)
+            return self._taken_long(word, marks, waits)
         get, symbols = self.rank.get, [*word]
         if MARK in word[marks:]:
             symbols[marks:] = [LITERAL if c == MARK else c for c in symbols[marks:]]
         agenda = [get(x + y, NEVER) for x, y in zip(symbols, symbols[1:], strict=False)]
-        places = [*range(len(symbols))]
+        taken, wait = 0, next(waits)
         while agenda and (r := min(agenda)) < NEVER:
             i = agenda.index(r)
-            if threshold:
-                h = (key + r * RANK_KEY + places[i] * PLACE_KEY) & 0xFFFFFFFFFFFFFFFF
-                if ((h ^ (h >> 29)) * SKIP_KEY & 0xFFFFFFFFFFFFFFFF) >> 32 < threshold:
-                    agenda[i] = NEVER
-                    continue
+            taken += 1
+            if not wait:
+                agenda[i], wait = NEVER, next(waits)
+                continue
+            wait -= 1
             merged = symbols[i] = symbols[i] + symbols[i + 1]
-            del symbols[i + 1], places[i + 1], agenda[i]
+            del symbols[i + 1], agenda[i]
             if i < len(agenda):
                 agenda[i] = get(merged + symbols[i + 1], NEVER)
             if i:
                 agenda[i - 1] = get(symbols[i - 1] + merged, NEVER)
-        return self._ids_of(symbols)
+        return self._ids_of(symbols), taken
 
     def _ids_of(self, symbols: list[str]) -> list[int]:
         out = [*map(self.ids.get, symbols)]
@@ -193,22 +211,24 @@ class Model:
             out = [x for i, s in zip(out, symbols, strict=True) for x in ([i] if i is not None else [self.bytes[b] for b in (MARK if s == LITERAL else s).encode()])]
         return out
 
-    def _segment_long(self, word: str, marks: int, key: int, threshold: int) -> list[int]:
+    def _taken_long(self, word: str, marks: int, waits) -> tuple[list[int], int]:
         """The same with a heap as agenda, whose cost grows with n log n."""
         get, symbols, n = self.rank.get, [*word], len(word)
         symbols[marks:] = [LITERAL if c == MARK else c for c in symbols[marks:]]
         right, left = [*range(1, n), -1], [-1, *range(n - 1)]
         agenda = [(r, i, symbols[i] + symbols[i + 1]) for i in range(n - 1) if (r := get(symbols[i] + symbols[i + 1], NEVER)) < NEVER]
         heapq.heapify(agenda)
+        taken, wait = 0, next(waits)
         while agenda:
             r, i, pair = heapq.heappop(agenda)
             j = right[i] if symbols[i] else -1
             if j < 0 or symbols[i] + symbols[j] != pair:
                 continue
-            if threshold:
-                h = (key + r * RANK_KEY + i * PLACE_KEY) & 0xFFFFFFFFFFFFFFFF
-                if ((h ^ (h >> 29)) * SKIP_KEY & 0xFFFFFFFFFFFFFFFF) >> 32 < threshold:
-                    continue
+            taken += 1
+            if not wait:
+                wait = next(waits)
+                continue
+            wait -= 1
             symbols[i], symbols[j] = pair, ""
             k = right[i] = right[j]
             if k >= 0:
@@ -218,7 +238,7 @@ class Model:
             k = left[i]
             if k >= 0 and (r := get(symbols[k] + pair, NEVER)) < NEVER:
                 heapq.heappush(agenda, (r, k, symbols[k] + pair))
-        return self._ids_of([s for s in symbols if s])
+        return self._ids_of([s for s in symbols if s]), taken
 
     def decode(self, ids) -> str:
         """The text of ids that ``encode`` made: pieces and bytes joined, less the first word's mark."""
@@ -232,21 +252,84 @@ def mix_int(x: int) -> int:
     return x ^ (x >> 31)
 
 
+def gap_table(threshold: int) -> np.ndarray:
+    """2**64 times the chance that k candidates in a row are merged, for k from 1 to MOST_GAP or as far as it isn't 0; ascending."""
+    if threshold not in _gaps:
+        chances, x = [], 1 << 64
+        while len(chances) < MOST_GAP and (x := x * ((1 << 32) - threshold) >> 32):
+            chances.append(min(x, (1 << 64) - 1))
+        _gaps[threshold] = np.array(chances[::-1], U64)
+    return _gaps[threshold]
+
+
+def drawn(keys: np.ndarray, draws: np.ndarray | U64, threshold: int) -> np.ndarray:
+    """The merges before the next skip, MOST_GAP at most, by the numbered draws of occurrences' keys."""
+    if not threshold:
+        return np.full(len(keys), NEVER, np.int64)
+    table = gap_table(threshold)
+    return len(table) - np.searchsorted(table, mixed(keys + draws * U64(DRAW_KEY)), "right")
+
+
+def gaps(key: int, threshold: int, most: int):
+    """The merges before each skip by one key's draws; what is above ``most`` isn't told exactly."""
+    if not threshold:
+        yield from repeat(NEVER)
+    table, draw = gap_table(threshold).tolist(), 0
+    while True:
+        wait, full = 0, True
+        while full and wait <= most:
+            n = len(table) - bisect_right(table, mix_int(key + draw * DRAW_KEY & 0xFFFFFFFFFFFFFFFF))
+            wait, full, draw = wait + n, n == MOST_GAP, draw + 1
+        yield wait
+
+
 def model(name: str = VOCABULARY) -> Model:
     if name not in _models:
         _models[name] = Model(name)
     return _models[name]
 
 
+class Memo:
+    """Segmentations by key: runs of ids in one array, and the candidates taken for each."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict = {}
+        self.ids, self.counts, self.taken, self.chars = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+
+    def full(self) -> bool:
+        return len(self.at) >= MEMO or self.chars >= MEMO * MEMO_CHARS
+
+    def recall(self, keys: list, made) -> np.ndarray:
+        """The numbers of distinct keys; ``made`` segments those at the places that aren't kept yet."""
+        before, put, at = len(self.at), self.at.setdefault, self.at
+        numbers = np.fromiter((put(k, len(at)) for k in keys), np.int64, len(keys))
+        fresh = np.flatnonzero(numbers >= before)
+        if len(fresh):
+            ids, counts, taken = made(fresh)
+            self.ids, self.counts, self.taken = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts]), np.concatenate([self.taken, taken])
+        return numbers
+
+
+def runs(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """values[start : start + count] of all, one after the other."""
+    ends = np.cumsum(counts)
+    return values[np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
-    """Keyed segmentation of whole texts with a bounded memo."""
+    """Keyed segmentation of whole texts with bounded memos."""
+
+    #: Keys to compare the kinds of agendas with.
+    lanes = 4
 
-    def __init__(self, dropout: float, seed: int, lanes: int = LANES, vocabulary: str = VOCABULARY) -> None:
-        self.model, self.seed, self.lanes = model(vocabulary), seed, max(1, lanes if dropout else 1)
+    def __init__(self, dropout: float, seed: int, vocabulary: str = VOCABULARY) -> None:
+        self.model, self.seed = model(vocabulary), seed
         self.threshold = min(int(dropout * (1 << 32)), 1 << 32)
-        self.memos = _memos.setdefault((dropout, seed, lanes, vocabulary), {})
-        for lane in range(self.lanes):
-            self.memos.setdefault(lane, [{}, {}])
+        #: Words without a skip, and (word, merges before its only skip), to ids and candidates taken.
+        self.memo, self.memo_once = _memos.setdefault(vocabulary, (Memo(), Memo()))
 
     def _units(self, text: str) -> list[str]:
         """The words between spaces. Runs of spaces stay with the word after them, as pieces of several marks exist."""
@@ -268,75 +351,110 @@ class Encoder:
         marks = len(unit) - len(body) + (1 if body else 0)
         return MARK * marks + body, marks
 
-    def _key(self, lane: int) -> int:
-        return mix_int(self.seed * self.lanes + lane & 0xFFFFFFFFFFFFFFFF)
-
-    def _one(self, unit: str, lane: int) -> bytes:
-        """The ids of a unit of any length and characters."""
+    def _one(self, unit: str, key: int | None = None, first: int = NEVER) -> tuple[bytes, int]:
+        """The ids of a unit of any length and characters, and the candidates taken: by a key's draws, or with one skip after ``first`` merges."""
         word, marks = self._marked(unit)
-        codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(U64)
-        key = int(mixed((codes * powers(len(codes))).sum(dtype=U64, keepdims=True) + U64(self._key(lane)))[0])
-        return array("H", self.model.segment(word, marks, key, self.threshold)).tobytes()
-
-    def _many(self, units: list[str], lane: int) -> dict[str, bytes]:
-        """The ids of distinct units: in step where all characters are symbols and the word isn't long, else one by one."""
-        out, plain = {}, []
-        for unit in units:
-            if len(unit) < HEAP_FROM and " " not in unit and MARK not in unit:
-                plain.append(unit)
-            else:
-                out[unit] = self._one(unit, lane)
-        plain.sort(key=len)
+        waits = chain([first], repeat(NEVER)) if key is None else gaps(key, self.threshold, 3 * len(word))
+        ids, taken = self.model.taken(word, marks, waits)
+        return array("H", ids).tobytes(), taken
+
+    def _all(self, units: list[str], first: np.ndarray, keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of many units one after the other, their counts and the candidates taken.
+
+        In step where all characters are symbols and the word isn't long, else one by one.
+        """
+        n = len(units)
+        lengths = np.fromiter(map(len, units), np.int64, n) + 1
+        order = np.argsort(lengths, kind="stable")
+        plain, order = order[: np.searchsorted(lengths[order], HEAP_FROM, "right")], order[::-1]
+        alone, found = [order[: n - len(plain)]], []
         for start in range(0, len(plain), STEP):
-            some = plain[start : start + STEP]
-            lengths = np.fromiter(map(len, some), np.int64, len(some)) + 1
-            width = int(lengths.max())
+            at = plain[start : start + STEP]
+            some, length = [units[k] for k in at.tolist()], lengths[at]
+            width = int(length.max())
+            inside = np.arange(width)[None, :] < length[:, None]
             codes = np.zeros((len(some), width), np.uint32)
-            codes[np.arange(width)[None, :] < lengths[:, None]] = np.frombuffer((MARK + MARK.join(some)).encode("utf-32-le"), np.uint32)
-            keys = mixed((codes.astype(U64) * powers(width)[None, :]).sum(axis=1, dtype=U64) + U64(self._key(lane)))
+            codes[inside] = np.frombuffer((MARK + MARK.join(some)).encode("utf-32-le"), np.uint32)
             symbols = self.model.symbol_of[codes]
-            known = ((symbols > 0) | (codes == 0) & (np.arange(width)[None, :] >= lengths[:, None])).all(axis=1)
-            ids, counts = self.model.segment_all(symbols[known], lengths[known], keys[known], self.threshold)
-            raw, ends = ids.astype(np.uint16).tobytes(), (2 * np.cumsum(counts)).tolist()
-            at = 0
-            for unit, ok in zip(some, known.tolist(), strict=True):
-                if ok:
-                    begin = ends[at - 1] if at else 0
-                    out[unit] = raw[begin : ends[at]]
-                    at += 1
-                else:
-                    out[unit] = self._one(unit, lane)
-        return out
+            # marks and spaces within a unit have an agenda of their own
+            odd = (symbols == 0) | (codes == ord(" ")) | (codes == ord(MARK))
+            odd[:, 0] = False
+            known = ~(odd & inside).any(axis=1)
+            alone.append(at[~known])
+            at = at[known]
+            found.append((at, *self.model.segment_all(symbols[known], length[known], first[at], None if keys is None else keys[at], self.threshold)))
+        for k in np.concatenate(alone).tolist():
+            ids, taken = self._one(units[k], None if keys is None else int(keys[k]), int(first[k]))
+            found.append(([k], np.frombuffer(ids, np.uint16), [len(ids) // 2], [taken]))
+        if not found:
+            return np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at, ids, counts, taken = (np.concatenate(x) for x in zip(*found, strict=True))
+        back = np.argsort(at)
+        starts = np.cumsum(counts) - counts
+        return runs(ids.astype(np.uint16), starts[back], counts[back]), counts[back], taken[back]
+
+    def _many(self, units: list[str], key: int) -> dict[str, tuple[bytes, int]]:
+        """The ids of distinct units, and the candidates taken, by the draws of one key."""
+        keys = np.full(len(units), key, U64)
+        ids, counts, taken = self._all(units, drawn(keys, U64(0), self.threshold), keys)
+        return {u: (x.tobytes(), t) for u, x, t in zip(units, np.split(ids, np.cumsum(counts)[:-1]), taken.tolist(), strict=True)}
+
+    def encode_units(self, units: pa.Array, keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of occurrences of units one after the other, and their counts; ``keys`` draw each one's skips."""
+        if self.memo.full():  # the numbers of words are keys of the other memo
+            self.memo.clear()
+            self.memo_once.clear()
+        if self.memo_once.full():
+            self.memo_once.clear()
+        coded = units.dictionary_encode()
+        words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        memo, once = self.memo, self.memo_once
+
+        def plainly(fresh: np.ndarray):
+            some = [words[k] for k in fresh.tolist()]
+            memo.chars += sum(map(len, some))
+            return self._all(some, np.full(len(some), NEVER, np.int64))
+
+        number = memo.recall(words, plainly)
+        run = number[code]
+        if keys is None:
+            return runs(memo.ids, (np.cumsum(memo.counts) - memo.counts)[run], memo.counts[run]), memo.counts[run]
+        first = drawn(keys, U64(0), self.threshold)
+        late = np.flatnonzero(first < memo.taken[run])
+        # a full draw doesn't tell where the skip is; long words hardly come again
+        again = np.fromiter(map(len, words), np.int64, len(words))[code[late]] >= HEAP_FROM
+        short = late[~again]
+        pairs, back = np.unique(code[short].astype(np.int64) << 8 | first[short], return_inverse=True)
+        which, skip = pairs >> 8, pairs & 255
+        numbers = once.recall((number[which] << 8 | skip).tolist(), lambda fresh: self._all([words[k] for k in which[fresh].tolist()], skip[fresh]))[back]
+        run[short] = len(memo.counts) + numbers
+        again[~again] = first[short] + 1 + drawn(keys[short], U64(1), self.threshold) < once.taken[numbers]
+        late = late[again]
+        ids, counts, _ = self._all([words[k] for k in code[late].tolist()], first[late], keys[late])
+        run[late] = len(memo.counts) + len(once.counts) + np.arange(len(late))
+        counts = np.concatenate([memo.counts, once.counts, counts])
+        return runs(np.concatenate([memo.ids, once.ids, ids]), (np.cumsum(counts) - counts)[run], counts[run]), counts[run]
 
     def encode_all(self, doc_ids: list, texts: list) -> list[np.ndarray]:
         """The ids of texts, as uint16 arrays."""
-        jobs, fresh = [], [{} for _ in range(self.lanes)]
-        for lane in range(self.lanes):
-            if len(self.memos[lane][0]) >= MEMO // self.lanes:
-                self.memos[lane] = [{}, self.memos[lane][0]]  # what was used of late stays
-        young, old = ([self.memos[lane][k] for lane in range(self.lanes)] for k in (0, 1))
-        for doc_id, text in zip(doc_ids, texts, strict=True):
-            if not text:
-                jobs.append(((), b""))
-                continue
-            units = text.split(" ") if "  " not in text and text[0] != " " and text[-1] != " " else self._units(text)
-            lanes = bytes(len(units))
-            if self.lanes > 1:
-                key = mix_int((self.seed << 1 ^ (doc_id or 0) * BASE) & 0xFFFFFFFFFFFFFFFF)
-                lanes = (mixed(np.arange(len(units), dtype=U64) * U64(SKIP_KEY) + U64(key)) % U64(self.lanes)).astype(np.uint8).tobytes()
-            jobs.append((units, lanes))
-            for unit, lane in zip(units, lanes, strict=True):
-                if unit not in young[lane]:
-                    if unit in old[lane]:
-                        young[lane][unit] = old[lane][unit]
-                    else:
-                        fresh[lane][unit] = None
-        for lane in range(self.lanes):
-            young[lane].update(self._many(list(fresh[lane]), lane))
-        out = [np.frombuffer(b"".join([young[lane][unit] for unit, lane in zip(units, lanes, strict=True)]), np.uint16) for units, lanes in jobs]
-        for lane in range(self.lanes):  # long words hardly come again
-            for unit in [u for u in fresh[lane] if len(u) > MEMO_WORD]:
-                del young[lane][unit]
+        # texts whose spaces are all single and between words are split by Arrow
+        plain, other = [], []
+        for k, text in enumerate(texts):
+            (plain if text and "  " not in text and text[0] != " " and text[-1] != " " else other).append(k)
+        parts = pc.split_pattern(pa.array([texts[k] for k in plain], pa.string()), " ")
+        rest = [self._units(texts[k]) if texts[k] else [] for k in other]
+        units = pa.concat_arrays([parts.flatten(), pa.array(chain.from_iterable(rest), pa.string())])
+        counts = np.concatenate([pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64), np.array([*map(len, rest)], np.int64)])
+        ends, keys = np.cumsum(counts), None
+        if self.threshold:
+            seeds = np.array([mix_int((self.seed << 1 ^ (doc_ids[k] or 0) * BASE) & 0xFFFFFFFFFFFFFFFF) for k in plain + other], U64)
+            place = np.arange(len(units)) - np.repeat(ends - counts, counts)
+            keys = mixed(place.astype(U64) * U64(PLACE_KEY) + np.repeat(seeds, counts))
+        ids, sizes = self.encode_units(units, keys)
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])].tolist()
+        out = [ids] * len(texts)
+        for k, a, b in zip(plain + other, cuts, cuts[1:], strict=False):
+            out[k] = ids[a:b]
         return out
 
     def encode(self, doc_id: int | None, text: str | None) -> np.ndarray:
@@ -359,14 +477,14 @@ def _said(rows: list[np.ndarray], m: Model) -> list[pa.Array]:
 SAID = ("n_tokens", "ids_crc32", "text")
 
 
-def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 0, lanes: int = LANES, vocabulary: str = VOCABULARY, decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 0, vocabulary: str = VOCABULARY, decoded: bool = False) -> DataFrame:
     """(doc_id, text) to doc_id and ids array<int>; no shuffle.
 
     ``decoded`` adds what :func:`decode` says of the ids, without sending them through a second Python worker.
     """
 
     def encoded(batches):
-        coder = Encoder(dropout, seed, lanes, vocabulary)
+        coder = Encoder(dropout, seed, vocabulary)
         for batch in batches:
             for some in slices(batch, "text", PART_BYTES):
                 ids = coder.encode_all(some.column("doc_id").to_pylist(), some.column("text").to_pylist())

@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from evalspark.llm.merge_dropout import Encoder, decode, encode, model
+from evalspark.llm.merge_dropout import Encoder, decode, drawn, encode, gaps, model
 from helpers import AWKWARD, DOC
 
 TEXTS = ["", " ", "a", "Hello  world", "  lead", "trail  ", "Über ñandú ▁mark", "\x00\n\t", "日本語 text", "word " * 50, "\U0001f600▁"]
@@ -82,3 +84,57 @@ def test_heap_and_list_agendas_agree():
         for word in ("▁internationalization", "▁▁the", "▁" + "banana" * 6, "a▁b▁c"):
             marks = len(word) - len(word.lstrip("▁"))
             assert m.segment(word, marks, 12345, dropout) == m._segment_long(word, marks, 12345, dropout)
+
+
+def test_every_occurrence_draws_its_own_skips():
+    coder = Encoder(0.1, 5)
+    for word in ("segmentation", "the", "a▁b▁c", "internationalization" * 3):
+        n, plain = 4000, Encoder(0.0, 5).encode(1, word).tolist()
+        lone = [tuple(coder.encode(d, word).tolist()) for d in range(n)]
+        taken = coder._one(word)[1]
+        as_plain = sum(x == tuple(plain) for x in lone)
+        # no skip, or skips that end in the same ids
+        assert as_plain >= n * (0.9**taken - 0.03), word
+        assert len(set(lone)) > (1 if taken == 1 else 5), (word, len(set(lone)))
+
+
+def test_segmentations_of_a_frequent_word_are_not_bounded():
+    coder = Encoder(0.1, 5)
+    ids = coder.encode(1, " ".join(["segmentation"] * 20_000))
+    whole = b"".join(coder.model.raw[i] for i in ids.tolist())
+    assert whole[1:].decode() == " ".join(["segmentation"] * 20_000)
+    cuts = [i for i, x in enumerate(ids.tolist()) if coder.model.raw[x].startswith(b" ")] + [len(ids)]
+    assert len({tuple(ids[a:b].tolist()) for a, b in zip(cuts, cuts[1:], strict=False)}) > 20
+
+
+def test_words_of_one_merge_are_skipped_by_chance():
+    # LANES segmentations left about two thirds of such words without any variation
+    coder, words = Encoder(0.1, 9), []
+    for piece, i in coder.model.ids.items():
+        if len(piece) == 2 and piece[0] == "▁" and piece[1].isalpha() and coder._one(piece[1])[1] == 1:
+            words.append((piece[1], i))
+    assert len(words) > 20
+    for word, i in words[:20]:
+        ids = coder.encode(3, " ".join([word] * 3000)).tolist()
+        assert 0.07 < 1 - ids.count(i) / 3000 < 0.13, word
+
+
+def test_memos_give_what_occurrences_give_by_themselves():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghinorstéß漢.", k=rng.randint(1, 50))) for _ in range(300)] + ["the", "segmentation", "a▁b"]
+    for dropout in (0.001, 0.1, 0.6, 1.0):
+        coder = Encoder(dropout, 13)
+        units = rng.choices(words, k=3000)
+        keys = np.array([rng.getrandbits(64) for _ in units], np.uint64)
+        want = [coder._one(u, int(k))[0] for u, k in zip(units, keys, strict=True)]
+        for _ in range(2):
+            ids, counts = coder.encode_units(pa.array(units), keys)
+            assert [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+def test_draws_are_independent_trials():
+    keys = np.arange(200_000, dtype=np.uint64) * np.uint64(977)
+    waits = drawn(keys, np.uint64(0), int(0.1 * 2**32))
+    for k in range(8):
+        assert abs((waits == k).mean() - 0.1 * 0.9**k) < 0.003
+    assert max(next(gaps(int(k), 1 << 20, 1 << 20)) for k in keys[:200]) > 4096  # draws that are full go on
