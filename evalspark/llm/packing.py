@@ -11,8 +11,9 @@ need no padding. Memory is one batch plus the open windows.
 
 Defined cases: a null text is the empty text, which has the end id only; an
 empty table gives an empty result; documents that repeat, or a null doc_id, are
-packed like all others; texts are encoded whole, special tokens' strings as
-ordinary text; columns beside doc_id and text are ignored.
+packed like all others; texts are encoded whole, with the strings of the
+vocabulary's added tokens as these tokens; columns beside doc_id and text are
+ignored.
 
 A retried task packs the same split alike, so a lost executor changes nothing:
 sequence ids come from the partition's number and a counter.
@@ -21,6 +22,7 @@ sequence ids come from the partition's number and a counter.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 
 import numpy as np
@@ -42,8 +44,9 @@ _encoders: dict[str, object] = {}
 def encoder(name: str = VOCABULARY):
     """The byte-level BPE of a public vocabulary, once per Python worker.
 
-    The ids equal those of tokenizers with ``<name>.json``; the same ranks are
-    run by tiktoken, which is four times as fast here (tested in tests/llm).
+    With ``allowed_special="all"`` the ids equal those of tokenizers with
+    ``<name>.json``, added tokens included; the same ranks are run by tiktoken,
+    which is four times as fast here (tested in tests/llm).
     """
     if name not in _encoders:
         import public_tokenizers
@@ -51,7 +54,12 @@ def encoder(name: str = VOCABULARY):
 
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encoders[name] = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        with open(public_tokenizers.path(f"{name}.json"), encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        # tiktoken takes the strings as they are, wherever they stand
+        assert not any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        special = {t["content"]: t["id"] for t in added}
+        _encoders[name] = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     return _encoders[name]
 
 
@@ -179,7 +187,7 @@ def pack(docs: DataFrame, size: int = WINDOW, end_id: int = END_ID, vocabulary:
             for some in slices(batch, "text", BATCH_BYTES):
                 found: list[tuple] = []
                 for doc, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist(), strict=True):
-                    ids = np.array([*encode.encode_ordinary(text or ""), end_id], "<u4")
+                    ids = np.array([*encode.encode(text or "", allowed_special="all"), end_id], "<u4")
                     found += packer.add(doc, ids)
                 if found:
                     yield rows(found)

@@ -78,3 +78,18 @@ def test_on_a_table(spark):
     assert all(p["length"] == len(p["ids"]) and p["ids_crc32"] == zlib.crc32(np.array(p["ids"], "<u4").tobytes()) for p in pieces)
     assert padding(pack(docs)).first()["padded_tokens"] == 0
     assert pack(docs.limit(0)).collect() == []
+
+
+def test_added_tokens_are_those_of_an_unmodified_tokenizer(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [r[1] or "" for r in AWKWARD] + ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n<|endoftext|", "ü  <|endoftext|>  \r\n don't <|ENDOFTEXT|>"]
+    want = [[*e.ids, 1] for e in t.encode_batch(texts, add_special_tokens=False)]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    found = defaultdict(list)
+    for p in sorted(pack(docs, with_ids=True).collect(), key=lambda p: p["start"]):
+        assert p["doc_tokens"] == len(want[p["doc_id"]])
+        found[p["doc_id"]] += p["ids"]
+    assert [found[i] for i in range(len(texts))] == want and want[len(AWKWARD)] == [64, 220, 50256, 275, 1]
