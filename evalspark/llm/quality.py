@@ -14,9 +14,10 @@ broadcast and collected is bounded by them.
 
 Defined cases: null or unknown labels are ignored and of several labels of one
 document the smallest counts; a null text is the empty text, null metadata a
-value of their own; without labels of both kinds every document is accepted,
-with the prior as score; a null doc_id is scored like all others; repeated rows
-get a row each; empty tables give an empty result; other columns are ignored.
+value of their own; without labels of both kinds to fit and to calibrate with
+(two of each) every document is accepted, with the prior as score; a null
+doc_id is scored like all others; repeated rows get a row each; empty tables
+give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -214,6 +215,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: in
 def score(docs: DataFrame, model: CoTrained, accept: float = ACCEPT, into: tuple[str, str] = ("quality", "accepted")) -> DataFrame:
     """Adds a calibrated probability and whether it is ``accept`` or more to all documents; no shuffle.
 
+    A model without views accepts all.
+
     A table's own columns of the two names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -224,7 +227,7 @@ def score(docs: DataFrame, model: CoTrained, accept: float = ACCEPT, into: tuple
         for batch in batches:
             for some in slices(batch, "text", PART_BYTES):
                 p = shared.value.probability(_features(some))
-                yield pa.RecordBatch.from_arrays([some.column("_row"), pa.array(p), pa.array(p >= accept)], ["_row", "_quality", "_accepted"])
+                yield pa.RecordBatch.from_arrays([some.column("_row"), pa.array(p), pa.array((p >= accept) | (shared.value.views is None))], ["_row", "_quality", "_accepted"])
 
     out = read.mapInArrow(scored, f"_row {read.schema['_row'].dataType.simpleString()}, _quality double, _accepted boolean")
     return out.select("_row.*", F.col("_quality").alias(into[0]), F.col("_accepted").alias(into[1]))

@@ -41,6 +41,16 @@ def test_without_both_kinds_all_are_accepted(spark):
     assert quality.score(docs.limit(0), model).collect() == []
 
 
+def test_few_positive_labels_accept_all(spark):
+    docs = spark.createDataFrame(corpus(n=40)[0], DOC)
+    for positive in (0, 1):
+        labels = spark.createDataFrame([(i, int(i < positive), 0) for i in range(30)], "doc_id long, quality int, toxic int")
+        model = quality.fit(docs, labels)
+        out = quality.score(docs, model).collect()
+        assert model.views is None and len(out) == 40
+        assert all(r["accepted"] and r["quality"] < quality.ACCEPT for r in out)
+
+
 def test_a_view_without_signal_changes_little():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 400)
