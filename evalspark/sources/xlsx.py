@@ -30,7 +30,10 @@ def _cell(ref: str, value: object) -> str:
         return f'<c r="{ref}" t="b"><v>{int(value)}</v></c>'
     if isinstance(value, (int, float)):
         return f'<c r="{ref}"><v>{value!r}</v></c>'
-    text = escape(_BAD.sub("", str(value))[:MAX_CELL])
+    text = _BAD.sub("", str(value))
+    if len(text) > MAX_CELL:
+        raise ValueError(f"cell {ref} has a longer text than a cell holds ({len(text):,} of {MAX_CELL:,} characters); write_tables takes texts of any length")
+    text = escape(text)
     return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{text}</t></is></c>'
 
 
@@ -39,7 +42,7 @@ def _row(number: int, values: list) -> str:
 
 
 def write_workbook(sheets: dict[str, DataFrame], path: str, skip_empty: bool = True) -> list[str]:
-    """Writes sheets to one .xlsx file and returns the names written. ValueError for a table over a sheet's size.
+    """Writes sheets to one .xlsx file and returns the names written. ValueError for a table over a sheet's size or a text over a cell's.
 
     Rows stream from Spark one partition at a time; only for reports that people read.
     """

@@ -174,3 +174,12 @@ def test_records_and_counts(spark):
     df, seen = observed(frame)
     df.collect()
     assert seen.get == {"n": 1}
+
+
+def test_texts_longer_than_a_cell_are_an_error(spark, tmp_path):
+    path = str(tmp_path / "long.xlsx")
+    texts = lambda n: spark.createDataFrame([("x" * n,)], "t string")
+    write_workbook({"s": texts(32_767)}, path)
+    assert len(read_workbook(spark, path)["s"].first()["t"]) == 32_767
+    with pytest.raises(ValueError, match="write_tables"):
+        write_workbook({"s": texts(32_768)}, path)
