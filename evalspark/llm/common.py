@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import gc
+import re
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ U64 = np.uint64
 #: Odd multiplier of the rolling hash, and the two multipliers of its finisher.
 BASE = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+#: Spans up to so many bytes are hashed by polynomials.
+POLYNOMIAL = 256
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -23,14 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df`` as it is sent to Python workers."""
+    return df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     It is spark.checkpoint.dir where the cluster names one; a local session
-    without it (tests) gets a folder below its warehouse.
+    without it (tests) gets a folder below its warehouse, and a cluster an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -76,6 +87,19 @@ def dropped(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def irregular(docs: DataFrame) -> bool:
+    """Whether rows share a doc_id or have none, so that it doesn't tell them apart."""
+    return not docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty()
+
+
+def with_numbers(docs: DataFrame) -> DataFrame:
+    """Adds _doc: one number for each doc_id and text, in the order of doc_id (null last), then of the text's SHA-256."""
+    keyed = docs.withColumn("_key", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    numbers = written(keyed.select("doc_id", "_key").distinct().orderBy(F.asc_nulls_last("doc_id"), "_key").withColumn("_doc", F.monotonically_increasing_id()), "numbers")
+    numbers = numbers.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_digest"), "_doc")
+    return keyed.join(numbers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_digest"))).drop("_key", "_id", "_digest")
+
+
 def powers(n: int, inverse: bool = False) -> np.ndarray:
     """The first n powers of BASE (or of its inverse) modulo 2**64; kept, as all batches use them."""
     have = _powers.get(inverse)
@@ -102,13 +126,20 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of data[start:end] for every pair; equal bytes have equal hashes.
 
     Polynomial prefix sums modulo 2**64 make a span's hash a difference, so the
-    cost doesn't depend on the spans' lengths.
+    cost doesn't depend on the spans' lengths. Built strings of 1024 bytes and
+    more can be equal under them (Thue-Morse words), so longer spans than
+    POLYNOMIAL are hashed by xxh3.
     """
     n = len(data)
     sums = np.zeros(n + 1, U64)
     np.cumsum((data.astype(U64) + U64(1)) * powers(n), out=sums[1:])
     raw = (sums[ends] - sums[starts]) * powers(n + 1, inverse=True)[starts]
-    return mixed(raw ^ ((ends - starts).astype(U64) * U64(MIX[0])))
+    out = mixed(raw ^ ((ends - starts).astype(U64) * U64(MIX[0])))
+    long = np.flatnonzero(ends - starts > POLYNOMIAL)
+    if len(long):
+        whole = memoryview(np.ascontiguousarray(data))
+        out[long] = np.fromiter((xxhash.xxh3_64_intdigest(whole[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)), U64, len(long))
+    return out
 
 
 def utf8_column(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -134,6 +165,21 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int):
         start = end
 
 
+def gathered(batches, column: str, most_bytes: int):
+    """The rows of a task's batches in parts whose ``column`` has about ``most_bytes`` bytes."""
+    held, n_bytes = [], 0
+    for batch in batches:
+        for some in slices(batch, column, most_bytes):
+            own = some.column(column).nbytes
+            if held and n_bytes + own > most_bytes:
+                yield pa.concat_batches(held)
+                held, n_bytes = [], 0
+            held.append(some)
+            n_bytes += own
+    if held:
+        yield pa.concat_batches(held)
+
+
 #: A bitmap has so many bits (4 MB), whatever the corpus.
 BITMAP_BITS = 1 << 25
 
@@ -173,7 +219,7 @@ def maybe_in(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(in_bitmap(shared.value, batch.column("_h").to_numpy(zero_copy_only=False))))
 
-    return rows.mapInArrow(kept, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)).drop("_h")
+    return in_batches(rows).mapInArrow(kept, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)).drop("_h")
 
 
 def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.ListArray:
