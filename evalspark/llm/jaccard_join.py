@@ -21,7 +21,8 @@ are in different components still are compared all. No list, group or number of
 partners is capped.
 
 Comparisons are integer: DEN * intersection >= NUM * union. Sets are of 64-bit
-shingle hashes.
+shingle hashes, and classes of 64-bit hashes of sets with their sizes: exact but
+for collisions of these hashes, of which no construction is known here.
 
 Defined cases: a null text or one without words has no shingles and links with
 nothing; repeated doc_ids are one node, their rows give a row each; a null
@@ -36,12 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.llm.common import U64, bitmap, cut, dropped, in_bitmap, maybe_in, mixed, slices, written
+from evalspark.llm.common import U64, bitmap, cut, dropped, in_batches, in_bitmap, maybe_in, mixed, slices, written
 from evalspark.llm.graph import components
 from evalspark.llm.shingles import set_key, shingle_sets
 
 WORDS, NUM, DEN = 5, 80, 100
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
+#: About so many shingles of a task are held to count those that occur more than once.
+COUNTED = 1 << 22
+#: Posting lists that are compared whole are cut into blocks of about so many entries.
+OPEN = 512
 #: The size of the list of frequent shingles.
 HEAVY = 1 << 18
 #: A set's outline counts its shingles in so many cells by hash.
@@ -54,30 +59,39 @@ def outline(shingles: np.ndarray) -> bytes:
 
 
 def _survey(words: int):
-    """Rows (kind 0) of doc_id, set size, class and outline; rows (kind 1) of a shingle and its documents in this batch."""
+    """Rows (kind 0) of doc_id, set size, class and outline; rows (kind 1) of a shingle and its documents among COUNTED shingles."""
+
+    def counted(sets: dict[int, np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+        flat = np.concatenate([*sets.values()])
+        sets.clear()
+        flat.sort()
+        # the runs of equal shingles, without arrays of those that occur once
+        same = np.zeros(len(flat) + 1, bool)
+        same[1:-1] = flat[1:] == flat[:-1]
+        starts = np.flatnonzero(~same[:-1] & same[1:])
+        found, counts = flat[starts], np.flatnonzero(same[:-1] & ~same[1:]) - starts + 1
+        m = len(found)
+        return pa.RecordBatch.from_arrays([pa.array([1] * m, pa.int32()), pa.nulls(m, kind), pa.array(counts, pa.int64()), pa.array(found.view(np.int64), pa.int64()), pa.nulls(m, pa.binary())], ["kind", "doc_id", "n", "key", "outline"])
 
     def survey(batches):
+        distinct: dict[int, np.ndarray] = {}
+        held, kind = 0, None
         for batch in batches:
-            distinct: dict[int, np.ndarray] = {}
+            kind = batch.schema.field("doc_id").type
             for some in slices(batch, "text", PART_BYTES):
                 sets = shingle_sets(some.column("text"), words)
                 ids = some.column("doc_id").to_pylist()
                 # a document without shingles is a class of its own
                 keys = [set_key(s) if len(s) else int(mixed(np.array([hash(d)], np.int64).view(U64)).view(np.int64)[0]) for s, d in zip(sets, ids, strict=True)]
-                # copies within the batch are counted once, as they are one class
+                # copies among these texts are counted once, as they are one class
                 distinct |= zip(keys, sets, strict=True)
+                held += sum(map(len, sets))
                 yield pa.RecordBatch.from_arrays([pa.array([0] * len(ids), pa.int32()), some.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array([outline(s) for s in sets], pa.binary())], ["kind", "doc_id", "n", "key", "outline"])
-            if distinct:
-                flat = np.concatenate([*distinct.values()])
-                distinct.clear()
-                flat.sort()
-                # the runs of equal shingles, without arrays of those that occur once
-                same = np.zeros(len(flat) + 1, bool)
-                same[1:-1] = flat[1:] == flat[:-1]
-                starts = np.flatnonzero(~same[:-1] & same[1:])
-                found, counts = flat[starts], np.flatnonzero(same[:-1] & ~same[1:]) - starts + 1
-                m = len(found)
-                yield pa.RecordBatch.from_arrays([pa.array([1] * m, pa.int32()), pa.nulls(m, batch.schema.field("doc_id").type), pa.array(counts, pa.int64()), pa.array(found.view(np.int64), pa.int64()), pa.nulls(m, pa.binary())], ["kind", "doc_id", "n", "key", "outline"])
+                if held >= COUNTED:
+                    yield counted(distinct, kind)
+                    held = 0
+        if distinct:
+            yield counted(distinct, kind)
 
     return survey
 
@@ -137,12 +151,17 @@ def _postings(words: int, num: int, den: int, heavy, shared=None):
     return postings
 
 
-def _sets(words: int):
+def _sets(words: int, wanted):
+    """Rows of (key, shingles) for the texts whose class may be wanted by a bitmap; a class's first row in a task only."""
+
     def sets(batches):
+        seen: set[int] = set()
         for batch in batches:
             for some in slices(batch, "text", PART_BYTES):
                 own = shingle_sets(some.column("text"), words)
-                yield pa.RecordBatch.from_arrays([some.column("key"), pa.array([s.tobytes() for s in own], pa.binary())], ["key", "shingles"])
+                keys = np.array([set_key(s) for s in own], np.int64)
+                at = [i for i in np.flatnonzero(in_bitmap(wanted.value, keys)).tolist() if len(own[i]) and not (keys[i] in seen or seen.add(keys[i]))]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at], pa.int64()), pa.array([own[i].tobytes() for i in at], pa.binary())], ["key", "shingles"])
 
     return sets
 
@@ -183,7 +202,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     """(doc_id, text) to doc_id, n_shingles long, component_id: the smallest doc_id reachable by links."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = in_batches(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     survey = written(texts.mapInArrow(_survey(words), f"kind int, doc_id {kind}, n long, key long, outline binary"), "survey")
     members = survey.where("kind = 0").select("doc_id", "n", "key")
     classes = members.groupBy("key", "n").agg(F.min("doc_id").alias("first"))
@@ -224,8 +243,13 @@ def similar_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
         """The pairs whose whole sets are similar enough; sets are made of the texts of the pairs that outlines leave."""
         outlines = survey.where("kind = 0").select("key", "outline").join(keys_of(pairs), "key", "left_semi").dropDuplicates(["key"])
         left = written(sides(pairs, outlines, "outline").mapInArrow(_may_overlap(num, den), "k1 long, k2 long"), "left")
+        # a class is told by its key, which is made again of the texts of its first doc_id, or of those without one
         wanted = cut(keys_of(left).join(classes, "key").select(F.col("first").alias("doc_id"), "key"))
-        sets = written(maybe_in(texts, "doc_id", wanted).join(wanted, "doc_id").select("key", "text").dropDuplicates(["key"]).mapInArrow(_sets(words), "key long, shingles binary"), "sets")
+        keys = spark.sparkContext.broadcast(bitmap(wanted, "key"))
+        own = maybe_in(texts, "doc_id", wanted).join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+        if wanted.where("doc_id IS NULL").take(1):
+            own = own.union(texts.where("doc_id IS NULL"))
+        sets = written(own.mapInArrow(_sets(words, keys), "key long, shingles binary").dropDuplicates(["key"]), "sets")
         links = written(sides(left, sets, "shingles").mapInArrow(_verified(num, den), "k1 long, k2 long"), "links")
         dropped(left, sets)
         return links
@@ -239,12 +263,16 @@ def similar_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     labelled = written(label(groups), "labelled")
     spread = labelled.groupBy("group", "n").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     ranged = entries.join(spread, ["group", "n"])
-    open_lists = ranged.groupBy("shingle").agg(F.min("low").alias("a"), F.max("high").alias("b")).where("a != b").select("shingle")
-    still = ranged.join(open_lists, "shingle")
+    open_lists = ranged.groupBy("shingle").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.ceil(F.count(F.lit(1)) / OPEN).cast("int").alias("blocks")).where("least != most").select("shingle", "blocks")
+    # a list's entries meet by pairs of blocks, so that a long list is spread over many tasks
+    still = ranged.join(open_lists, "shingle").withColumn("block", F.pmod(F.xxhash64("group", "n"), F.col("blocks")).cast("int"))
+    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(other, F.col("block")).alias("a"), F.greatest(other, F.col("block")).alias("b")))
+    still = still.select("*", F.explode(met).alias("met")).select("shingle", "met.a", "met.b", "block", "place", "group", "n", "low", "high")
+    half = lambda k, side: still.where(f"block = {side}").select("shingle", "a", "b", *[F.col(c).alias(f"{c}{k}") for c in ("place", "group", "n", "low", "high")])
     pairs = (
-        named(still, 1)
-        .join(named(still, 2), "shingle")
-        .where(f"group1 < group2 AND NOT (low1 = high1 AND low2 = high2 AND low1 = low2) AND {_may_link(num, den)}")
+        half(1, "a")
+        .join(half(2, "b"), ["shingle", "a", "b"])
+        .where(f"(a < b OR group1 < group2) AND NOT (low1 = high1 AND low2 = high2 AND low1 = low2) AND {_may_link(num, den)}")
         .select("group1", "n1", "group2", "n2")
         .distinct()
     )

@@ -81,3 +81,42 @@ def test_outlines_bound_the_overlap():
         b = np.unique(np.concatenate([b, a[: rng.integers(0, 400)]]))
         x, y = (np.frombuffer(outline(s), "<u4") for s in (a, b))
         assert len(x) == CELLS and x.sum() == len(a) and np.minimum(x, y).sum() >= len(np.intersect1d(a, b))
+
+
+def test_built_words_do_not_collide(spark):
+    """Thue-Morse words and their complements are equal under any polynomial hash modulo 2**64."""
+    rows = []
+    for k in range(6, 14):
+        word = "a"
+        for _ in range(k):
+            word += word.translate(str.maketrans("ab", "ba"))
+        rows += [(2 * k, f"one two {word}"), (2 * k + 1, f"one two {word.translate(str.maketrans('ab', 'ba'))}")]
+    got = {r["doc_id"]: r["component_id"] for r in similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()}
+    assert got == {i: i for i, _ in rows}
+
+
+def test_near_texts_without_or_under_one_id(spark):
+    rng = random.Random(6)
+    base, other = ([f"{x}{i}" for i in rng.sample(range(900), 60)] for x in "pq")
+    near = lambda w, k: " ".join([*w[:k], "new", *w[k + 1 :]])
+    rows = [(None, near(base, 1)), (None, near(base, 58)), (4, near(base, 0)), (9, near(other, 1)), (9, near(base, 57)), (12, near(other, 59)), (3, "alone it is"), (None, "alone, too, here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in similar_components(df, 2, 80, 100).collect()]
+    # rows are nodes of their own; those of one doc_id and those with one text are named by their smallest id
+    named = similar([(k, t) for k, (_, t) in enumerate(rows)], 2, 80, 100)
+    least = {}
+    for k, (d, _) in enumerate(rows):
+        least.setdefault(named[k][1], []).append(d)
+    want = [(d, named[k][0], min((x for x in least[named[k][1]] if x is not None), default=None)) for k, (d, _) in enumerate(rows)]
+    assert sorted(out, key=str) == sorted(want, key=str)
+
+
+def test_long_open_lists_are_compared_whole(spark, monkeypatch):
+    import evalspark.llm.jaccard_join as jj
+
+    # one shingle leads all prefixes, and the classes that it brings together are similar in pairs only
+    monkeypatch.setattr(jj, "OPEN", 8)
+    monkeypatch.setattr(jj, "_ordered_prefix", lambda s, w, length: np.sort(s)[:length])
+    rows = [(i, "lead " + " ".join(f"w{i // 2}x{k}" for k in range(12)) + (" end" if i % 2 else "")) for i in range(90)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80, 100).collect()}
+    assert got == similar(rows, 1, 80, 100)
