@@ -20,10 +20,18 @@ Copies of whole texts are one document for all this (their first doc_id), and
 equal contexts are folded in each task before they are shuffled, so that a
 passage with any number of occurrences sends one context from each task.
 
+Equal hashes are never taken for equal bytes: contexts that fold are compared.
+A bucket holds about BUCKET_BYTES of text. An anchor with very many different
+contexts has its windows processed by their distance from the anchor, as equal
+windows have equal ones; its contexts are still in one task, which takes about
+0.7 kB for each of them.
+
 Defined cases: a null text is the empty text; matches never cross documents and
-overlap freely; doc_id identifies a document: rows that repeat it are one
-document (of different texts one is taken), and rows without it are left out;
-texts shorter than ``length`` keep all; an empty table gives an empty result.
+overlap freely; every row gives a row. Rows that share doc_id and text are one
+document; different texts under one doc_id are documents of their own, in the
+order of their SHA-256; rows without a doc_id have no place in the order, so
+they keep all and nothing is held against them; texts shorter than ``length``
+keep all; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,15 +45,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.llm.common import U64, cut, dropped, mixed, release, shared_folder, slices, span_hashes, utf8_column, written
+from evalspark.llm.common import U64, cut, dropped, in_batches, irregular, mixed, release, shared_folder, slices, span_hashes, utf8_column, with_numbers, written
 
 LENGTH = 100
 GRAM = 32
 #: Texts are read in parts of so many bytes; places in a part fit in 24 bits.
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 19
 _PLACE_BITS = 24
 #: About so many contexts of whole anchors have their suffixes sorted at a time.
 RUN_ROWS = 5000
+#: Buckets hold about so many bytes of text, of which 0.7 or less become contexts.
+BUCKET_BYTES = 32 << 20
 #: Rows of an anchor as raw bytes; ``off`` is the anchor's distance from the first window it owns.
 ANCHOR = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("at", "<u4"), ("off", "<u2"), ("more", "<u2")])
 
@@ -97,7 +107,7 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
 
 def _by_bucket(keys: np.ndarray, buckets: int):
     """(bucket, row numbers) for each bucket that has rows; rows stay in order."""
-    bucket = (keys >> U64(64 - 20)).astype(np.int64) % buckets
+    bucket = (keys >> U64(32)).astype(np.int64) % buckets
     order = np.argsort(bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True):
@@ -162,7 +172,16 @@ def _folded(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _context_keys(rows: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return mixed(span_hashes(data, starts, ends) + rows["hash"] * U64(3) + rows["off"].astype(U64))
+    """Equal for equal contexts of an anchor at an equal place, and for no others."""
+    keys = mixed(span_hashes(data, starts, ends) + rows["hash"] * U64(3) + rows["off"].astype(U64))
+    order = np.argsort(keys, kind="stable")
+    again = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
+    whole, a, b, off = data.tobytes(), starts.tolist(), ends.tolist(), rows["off"]
+    if all(off[i] == off[j] and whole[a[i] : b[i]] == whole[a[j] : b[j]] for i, j in zip(order[again].tolist(), order[again + 1].tolist(), strict=True)):
+        return keys
+    # different bytes have one hash: number the contexts themselves
+    numbers: dict[tuple, int] = {}
+    return np.array([numbers.setdefault((int(h), int(o), whole[x:y]), len(numbers)) for h, o, x, y in zip(rows["hash"], off, a, b, strict=True)], U64)
 
 
 def _whole_spans(rows: np.ndarray, length: int) -> np.ndarray:
@@ -217,15 +236,23 @@ def _batches(table: pa.Table):
     return table.combine_chunks().to_batches() or []
 
 
-def maximal_repeats(rows: np.ndarray, data: np.ndarray, starts: np.ndarray, length: int):
+def maximal_repeats(rows: np.ndarray, data: np.ndarray, starts: np.ndarray, length: int, distance: int | None = None):
     """(string length, occurrences as row numbers, their offsets from the rows' first windows) of every
     maximal repeat among contexts; row i's context is data[starts[i] : starts[i] + more + length].
 
-    Only suffixes that begin at an owned window can match over ``length`` bytes.
+    Only suffixes that begin at an owned window can match over ``length`` bytes;
+    with ``distance`` only those that begin so far before the anchor.
     """
-    per = rows["more"].astype(np.int64) + 1
-    row = np.repeat(np.arange(len(rows)), per)
-    delta = np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)
+    if distance is None:
+        per = rows["more"].astype(np.int64) + 1
+        row = np.repeat(np.arange(len(rows)), per)
+        delta = np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)
+    else:
+        delta = rows["off"].astype(np.int64) - distance
+        row = np.flatnonzero((delta >= 0) & (delta <= rows["more"]))
+        delta = delta[row]
+        if not len(row):
+            return
     begin = starts[row] + delta
     # equal first windows are the roots of the interval tree
     keys = span_hashes(data, begin, begin + length)
@@ -277,6 +304,34 @@ def maximal_repeats(rows: np.ndarray, data: np.ndarray, starts: np.ndarray, leng
                 stack.append([now, first, before])
 
 
+def _later(rows: np.ndarray, repeats) -> np.ndarray:
+    """Document, start and end of what maximal repeats cover by occurrences other than their first."""
+    docs, ats = rows["doc"].astype(np.int64), rows["at"].astype(np.int64)
+    # the longest interval in which a suffix isn't the first; one number for each suffix, however the intervals nest
+    places, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    held, width = 0, int(rows["more"].max()) + 1
+
+    def longest() -> None:
+        place, size = np.concatenate(places), np.concatenate(sizes)
+        order = np.lexsort((-size, place))
+        kept = order[np.concatenate([[True], place[order[1:]] != place[order[:-1]]])] if len(order) else order
+        places[:], sizes[:] = [place[kept]], [size[kept]]
+
+    for size, at, delta in repeats:
+        doc, place = docs[at], ats[at] + delta
+        least = doc.min()
+        later = (doc != least) | (place != place[doc == least].min())
+        places.append(at[later] * width + delta[later])
+        sizes.append(np.full(len(places[-1]), size, np.int64))
+        held += len(places[-1])
+        if held > 1 << 20:
+            longest()
+            held = 0
+    longest()
+    at, delta = places[0] // width, places[0] % width
+    return np.stack([docs[at], ats[at] + delta, ats[at] + delta + sizes[0]])
+
+
 def _removed(length: int):
     """A bucket's removed spans from its anchors' contexts."""
 
@@ -297,20 +352,10 @@ def _removed(length: int):
             same[:-1] |= h[1:] == h[:-1]
         several = by_hash[same]
         own, own_starts = rows[several], starts[several]
-        docs, ats = own["doc"].astype(np.int64), own["at"].astype(np.int64)
-        # anchors with few contexts at a time bound the suffix arrays
+        # anchors with few contexts at a time bound the suffix arrays, and so does one distance from an anchor with many
         for a, b in _runs(own["hash"], RUN_ROWS):
-            # the longest interval in which a suffix isn't the first; one number for each suffix, however the intervals nest
-            longest = np.zeros((b - a, int(own["more"][a:b].max()) + 1), np.uint32)
-            for size, at, delta in maximal_repeats(own[a:b], data, own_starts[a:b], length):
-                doc, place = docs[a:b][at], ats[a:b][at] + delta
-                least = doc.min()
-                later = (doc != least) | (place != place[doc == least].min())
-                at, delta = at[later], delta[later]
-                longest[at, delta] = np.maximum(longest[at, delta], size)
-            at, delta = np.nonzero(longest)
-            start = ats[a:b][at] + delta
-            spans.append(_by_runs(np.stack([docs[a:b][at], start, start + longest[at, delta]])))
+            for distance in [None] if b - a < 2 * RUN_ROWS else range(int((own["off"][a:b].astype(np.int64) - own["more"][a:b]).min()), int(own["off"][a:b].max()) + 1):
+                spans.append(_by_runs(_later(own[a:b], maximal_repeats(own[a:b], data, own_starts[a:b], length, distance))))
         return _span_table(np.concatenate(spans, axis=1))
 
     return removed
@@ -338,16 +383,14 @@ def merged_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def by_document(docs: DataFrame, name: str = "repeats") -> DataFrame:
-    """The documents as a table bucketed by doc_id in the shared folder, one row each.
+    """The documents, one row each, as a table bucketed by doc_id in the shared folder.
 
     Later joins on doc_id then shuffle only their other side, never the texts again.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{name}_{uuid.uuid4().hex}"
-    unique = docs.where(F.col("doc_id").isNotNull()).repartition(parts, "doc_id").dropDuplicates(["doc_id"])
-    parts = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    unique.write.bucketBy(parts, "doc_id").option("compression", "zstd").option("path", f"{shared_folder(spark).rstrip('/')}/{table}").saveAsTable(table)
+    docs.repartition(parts, "doc_id").write.bucketBy(parts, "doc_id").option("compression", "zstd").option("path", f"{shared_folder(spark).rstrip('/')}/{table}").saveAsTable(table)
     release(spark)
     return spark.table(table)
 
@@ -359,7 +402,6 @@ def removal_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     a smaller doc_id is told by ``copy`` instead, and is removed whole.
     """
     spark = texts.sparkSession
-    buckets = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def keyed(batches):
         for batch in batches:
@@ -368,7 +410,10 @@ def removal_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     keys = texts.mapInArrow(keyed, "doc_id long, n_bytes long, key binary").where(f"n_bytes >= {length}")
     # the first document of each text stands for all its copies
-    originals = cut(keys.groupBy("key").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
+    originals = cut(keys.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes")).select("doc_id", "n_bytes"))
+    n_bytes = originals.agg(F.sum("n_bytes")).first()[0] or 0
+    originals = originals.select("doc_id")
+    buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // BUCKET_BYTES))
     distinct = texts.join(originals, "doc_id", "left_semi")
     anchors = distinct.mapInArrow(_anchors(length, gram, buckets), "bucket int, rows binary")
     shared = anchors.groupBy("bucket").applyInArrow(_shared, "doc_id long, rows binary")
@@ -420,7 +465,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, as_t
     """
     added = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (*added, "text")]
-    by_doc = by_document(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("_row")))
-    spans = removal_spans(by_doc.select("doc_id", "text"), length, gram)
-    schema = f"_row {by_doc.schema['_row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
-    return by_doc.join(spans, "doc_id").select("_row", "text", "copy", "spans").mapInArrow(_kept(length, as_text), schema).select("_row.*", *added)
+    rows = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("_row"))
+    named, nameless = rows.where("doc_id IS NOT NULL"), rows.where("doc_id IS NULL")
+
+    def said(of: DataFrame) -> DataFrame:
+        """_row, text, copy and spans to _row and what is added."""
+        schema = f"_row {of.schema['_row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+        return of.select("_row", "text", "copy", "spans").mapInArrow(_kept(length, as_text), schema)
+
+    def without(documents: DataFrame) -> DataFrame:
+        by_doc = by_document(documents)
+        return said(by_doc.join(removal_spans(by_doc.select("doc_id", "text"), length, gram), "doc_id"))
+
+    if not irregular(named):
+        found = without(named)
+    else:
+        # documents are told apart by doc_id and text, and numbered in this order
+        keyed = with_numbers(named)
+        once = keyed.groupBy(F.col("_doc").alias("doc_id")).agg(F.first("text").alias("text")).withColumn("_row", F.struct("doc_id"))
+        results = without(once).select(F.col("_row.doc_id").alias("_doc"), *added)
+        found = keyed.select("_doc", "_row").join(results, "_doc").select("_row", *added)
+    kept = said(nameless.withColumns({"copy": F.lit(False), "spans": F.lit(None).cast("array<struct<start:long,end:long>>")}))
+    return found.union(kept).select("_row.*", *added)

@@ -1,6 +1,8 @@
+import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from evalspark.llm.suffix_repeats import ANCHOR, _bounded, maximal_repeats, merged_spans, owned_windows, remove_repeats
 from helpers import AWKWARD, DOC, without_repeats
@@ -38,9 +40,9 @@ def test_awkward_rows(spark):
     rows = [*AWKWARD, (20, AWKWARD[4][1] * 3, "en", "a", 1), (None, "left out", None, None, None), AWKWARD[4]]
     df = spark.createDataFrame(rows, DOC).selectExpr("*", "1 AS spans", "2 AS copy", "3 AS n_bytes")
     out = remove_repeats(df).collect()
-    want = without_repeats([(r[0], r[1]) for r in rows[:-2]], 100)
+    want = without_repeats([(r[0], r[1]) for r in rows[:-2]], 100) | without_repeats([(None, "left out")], 100)
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out} == want
-    assert len(out) == len(want)
+    assert len(out) == len(want) + 1 == len(rows)
     assert remove_repeats(df.limit(0)).collect() == []
 
 
@@ -106,3 +108,57 @@ def test_long_texts_are_cut_in_overlapping_parts():
 def test_merged_spans():
     starts, ends = merged_spans(np.array([5, 0, 8, 20, 3]), np.array([9, 2, 12, 30, 5]))
     assert starts.tolist() == [0, 3, 20] and ends.tolist() == [2, 12, 30]
+
+
+def test_every_row_of_clashing_ids(spark):
+    rng = random.Random(8)
+    text = lambda: "".join(rng.choices("abcdefgh", k=150))
+    shared = text()
+    rows = [(5, shared + text()), (5, text() + shared), (None, shared), (None, shared), (7, text() + shared), (2, text()), (5, text())]
+    rows += [rows[1], rows[5]]
+    out = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    # documents in the order of id, then digest; rows without an id keep all
+    documents = sorted({r for r in rows if r[0] is not None}, key=lambda r: (r[0], hashlib.sha256(r[1].encode()).hexdigest()))
+    by_number = without_repeats([(k, t) for k, (_, t) in enumerate(documents)], 100)
+    by_row = {r: by_number[k] for k, r in enumerate(documents)}
+    want = [(d, *(by_row[d, t] if d is not None else without_repeats([(0, t)], 100)[0])) for d, t in rows]
+    assert sorted(out, key=str) == sorted([(w[0], w[1], w[2], w[4]) for w in want], key=str)
+
+
+def test_anchor_with_many_contexts(monkeypatch):
+    """One distance at a time gives what all suffixes at once give."""
+    import evalspark.llm.suffix_repeats as sr
+
+    rng = random.Random(4)
+    length, gram, around = 30, 10, 20
+    rows, contexts = np.zeros(400, ANCHOR), []
+    for i in range(400):
+        side = lambda: "".join(rng.choices("ab", weights=[9, 1], k=around))
+        contexts.append(side() + "0123456789" + side())
+        rows[i] = (77, rng.randint(0, 50), 1000 * i, around, around)
+    table = pa.table({"rows": [rows.tobytes()], "contexts": ["".join(contexts).encode()]})
+
+    def covered():
+        out = sr._removed(length)(table)
+        return {(d, p) for d, a, b in zip(*(c.to_pylist() for c in out.columns), strict=True) for p in range(a, b)}
+
+    whole = covered()
+    monkeypatch.setattr(sr, "RUN_ROWS", 50)
+    assert covered() == whole and whole
+    seen, want = set(), set()
+    for _, d, at, text in sorted((0, int(r["doc"]), int(r["at"]), t) for r, t in zip(rows, contexts, strict=True)):
+        for k in range(len(text) - length + 1):
+            if text[k : k + length] in seen:
+                want |= {(d, at + p) for p in range(k, k + length)}
+            seen.add(text[k : k + length])
+    assert whole == want
+
+
+def test_colliding_hashes_do_not_fold(monkeypatch):
+    import evalspark.llm.suffix_repeats as sr
+
+    monkeypatch.setattr(sr, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    rows = np.zeros(3, ANCHOR)
+    data = np.frombuffer(b"aaaabbbbaaaa", np.uint8)
+    keys = sr._context_keys(rows, data, np.array([0, 4, 8]), np.array([4, 8, 12]))
+    assert keys[0] == keys[2] != keys[1]
