@@ -1,7 +1,9 @@
 """Near-duplicate vectors by iterative quantisation and multi-index Hamming tables.
 
 A rotation that makes sign codes balanced and close to the vectors is learned
-on a bounded sample (FIT_ROWS rows). Each vector's code is cut into TABLES
+on a bounded sample (FIT_ROWS rows); a vector length of which the sample has few
+rows, or which is over WIDE, gets seeded random directions instead, rotated alike
+where the sample has any. Each vector's code is cut into TABLES
 chunks; two vectors meet in a table's bucket if their chunks are equal (and
 their labels). Candidates are reranked by the cosine of the original vectors in
 double precision, so no pair below the threshold is ever linked. A pair that
@@ -21,8 +23,10 @@ is in the README.
 Defined cases: a null label, a null, empty or zero vector and one with null or
 non-finite components links with nothing (n_links 0, its own component); only
 vectors of equal length are compared; rows with a null vec_id keep null as
-component; repeated vec_ids give a row each, and equal rows under one vec_id
-count as no link to themselves; an empty table gives an empty result.
+component; repeated vec_ids give a row each: equal rows under one vec_id count
+as no link to themselves, and different vectors under one vec_id have links and
+components of their own; columns beside the three are ignored, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.llm.common import cut
+from evalspark.llm.common import cut, in_batches
 from evalspark.llm.graph import components
 
 THRESHOLD = 0.98
@@ -40,6 +44,10 @@ TABLES = 6
 BLOCK = 1024
 FIT_ROWS, FIT_ROUNDS = 4096, 30
 BITS = 64
+#: Principal directions are computed of vectors up to this length.
+WIDE = 2048
+#: A group's links are told as a tree in which a member has so many children.
+CHILDREN = 16
 
 
 def iterative_quantisation(sample: np.ndarray, bits: int = BITS, rounds: int = FIT_ROUNDS, seed: int = 0) -> np.ndarray:
@@ -50,8 +58,13 @@ def iterative_quantisation(sample: np.ndarray, bits: int = BITS, rounds: int = F
     their angle says, even where one group holds most of the sample. Short
     vectors get several rotations, one after the other, up to ``bits``.
     """
-    _, _, axes = np.linalg.svd(sample, full_matrices=True)
-    kept = axes[:bits].T
+    n = sample.shape[1]
+    if n > WIDE or len(sample) < 2 * n:
+        kept = random_directions(n, bits, seed)
+        if len(sample) < 2 * bits:
+            return kept
+    else:
+        kept = np.linalg.svd(sample, full_matrices=True)[2][:bits].T
     view, parts = sample @ kept, []
     for k in range(-(-bits // kept.shape[1])):
         rotation, _ = np.linalg.qr(np.random.default_rng(seed + k).standard_normal((kept.shape[1],) * 2))
@@ -62,6 +75,11 @@ def iterative_quantisation(sample: np.ndarray, bits: int = BITS, rounds: int = F
     return np.hstack(parts)[:, :bits]
 
 
+def random_directions(n: int, bits: int = BITS, seed: int = 0) -> np.ndarray:
+    """Seeded directions, whose signs differ for two vectors with a probability in proportion to their angle."""
+    return np.random.default_rng([seed, n]).standard_normal((n, bits))
+
+
 def codes_of(vectors: np.ndarray, projection: np.ndarray) -> np.ndarray:
     """The sign code of each vector as one uint64."""
     signs = vectors @ projection >= 0
@@ -80,8 +98,8 @@ def _unit(table: pa.Table) -> np.ndarray:
     return flat.reshape(table.num_rows, -1).astype(np.float64)
 
 
-def _coder(fits: dict[int, np.ndarray]):
-    """Adds each class's code; fits has a model for each vector length."""
+def _coder(fits: dict[int, np.ndarray], seed: int):
+    """Adds each class's code; fits has the models of the vector lengths that the sample has."""
 
     def coded(batches):
         for batch in batches:
@@ -89,9 +107,8 @@ def _coder(fits: dict[int, np.ndarray]):
             codes = np.zeros(len(vectors), np.uint64)
             for n in np.unique(lengths):
                 at = np.flatnonzero(lengths == n)
-                # a length that the sample lacks has one code, so its vectors are compared all
-                if n in fits:
-                    codes[at] = codes_of(_normed(np.array([vectors[i] for i in at], np.float64)), fits[n])
+                projection = fits[n] if n in fits else random_directions(int(n), seed=seed)
+                codes[at] = codes_of(_normed(np.array([vectors[i] for i in at], np.float64)), projection)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes.astype(np.int64))], [*batch.schema.names, "code"])
 
     return coded
@@ -106,20 +123,14 @@ def _normed(vectors: np.ndarray) -> np.ndarray:
 def _compare(masks: list[int], threshold: float):
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
         table, a, b = (x.as_py() for x in key[2:5])
-        ids, codes = rows["vec_id"].to_numpy(), rows["code"].to_numpy().astype(np.uint64)
+        ids, codes = rows["id"].to_numpy(), rows["code"].to_numpy().astype(np.uint64)
         weights, block = rows["n"].to_numpy(), rows["block"].to_numpy()
         unit = _normed(_unit(rows))
         order = np.argsort(ids, kind="stable")
         ids, codes, weights, block, unit = ids[order], codes[order], weights[order], block[order], unit[order]
         counts = np.zeros(len(ids), np.int64)
         root = np.arange(len(ids))
-        links: list[tuple[int, int]] = []
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
+        linked = np.zeros(len(ids), bool)
 
         left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
         for start in range(0, len(left), 512):
@@ -136,15 +147,24 @@ def _compare(masks: list[int], threshold: float):
                     i, j = i[apart], j[apart]
             np.add.at(counts, i, weights[j])
             np.add.at(counts, j, weights[i])
-            for x, y in zip(i.tolist(), j.tolist(), strict=True):
-                p, q = find(x), find(y)
-                if p != q:
-                    root[max(p, q)] = min(p, q)
-                    links.append((x, y))
+            linked[i] = linked[j] = True
+            # the roots of linked pairs hook to the smaller one until no pair has two
+            while len(i := i[apart := root[i] != root[j]]):
+                j = j[apart]
+                np.minimum.at(root, np.maximum(root[i], root[j]), np.minimum(root[i], root[j]))
+                while (root[root] != root).any():
+                    root = root[root]
+        # each group as a tree of small degree, so that no vector has a share of all links
+        members = np.flatnonzero(linked)
+        members = members[np.argsort(root[members], kind="stable")]
+        firsts = np.flatnonzero(np.diff(root[members], prepend=-1))
+        place = np.arange(len(members)) - np.repeat(firsts, np.diff(np.append(firsts, len(members))))
+        inner = np.flatnonzero(place)
+        links = [*zip(members[inner - place[inner] + (place[inner] - 1) // CHILDREN].tolist(), members[inner].tolist(), strict=True)]
         at = np.flatnonzero(counts)
         return pa.table(
             {
-                "vec_id": pa.array([*ids[at], *(ids[x] for x, _ in links)], pa.int64()),
+                "id": pa.array([*ids[at], *(ids[x] for x, _ in links)], pa.int64()),
                 "n": pa.array([*counts[at], *(0 for _ in links)], pa.int64()),
                 "to": pa.array([*(None for _ in at), *(ids[y] for _, y in links)], pa.int64()),
             }
@@ -163,41 +183,42 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tables: int =
     usable = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(finite, F.lit(False)))
     # equal vectors: one class under its smallest id; -0.0 and 0.0 are equal
     classes = usable.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0))).groupBy("label", "vector").agg(F.min("vec_id").alias("vec_id"), F.count_distinct("vec_id").alias("n"))
-    classes = cut(classes)
+    # a class is told by a number of its own, as different vectors may share a vec_id; a checkpoint keeps the numbers
+    classes = cut(classes.withColumn("id", F.monotonically_increasing_id()))
     # the fit sees a bounded sample, drawn by hash so that it is the same on every run
     sample = classes.select(F.size("vector").alias("n"), "vector", F.xxhash64(F.lit(seed), "vec_id").alias("h")).orderBy("h").limit(FIT_ROWS).collect()
     fits = {}
     for n in {r["n"] for r in sample}:
-        some = np.array([r["vector"] for r in sample if r["n"] == n], np.float64)
-        if len(some) >= 2 * n:
-            fits[n] = iterative_quantisation(_normed(some), seed=seed)
+        fits[n] = iterative_quantisation(_normed(np.array([r["vector"] for r in sample if r["n"] == n], np.float64)), seed=seed)
     masks = chunk_masks(BITS, tables)
-    coded = cut(classes.mapInArrow(_coder(fits), "label " + classes.schema["label"].dataType.simpleString() + ", vector array<double>, vec_id long, n long, code long"))
+    coded = cut(in_batches(classes).mapInArrow(_coder(fits, seed), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema) + ", code long"))
     entries = coded.select(
         "label",
         F.size("vector").alias("n_terms"),
         F.posexplode(F.array(*[F.col("code").bitwiseAND(F.lit(m if m < 1 << 63 else m - (1 << 64))) for m in masks])).alias("table", "chunk"),
-        "vec_id",
+        "id",
         "n",
         "code",
         "vector",
     )
     bucket = ["label", "n_terms", "table", "chunk"]
     sizes = entries.groupBy(*bucket).agg(F.count(F.lit(1)).alias("m")).where("m > 1").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-    placed = entries.join(sizes, bucket).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+    placed = entries.join(sizes, bucket).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # a row goes to every pair of sub-blocks that its own is part of
     pairs = placed.select(
-        *bucket, "vec_id", "n", "code", "vector", "block",
+        *bucket, "id", "n", "code", "vector", "block",
         F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(other, F.col("block")).alias("a"), F.greatest(other, F.col("block")).alias("b")))).alias("pair"),
-    ).select("label", "n_terms", "table", F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), "chunk", "vec_id", "n", "code", "vector", "block")
-    found = cut(pairs.groupBy("label", "n_terms", "table", "a", "b", "chunk").applyInArrow(_compare(masks, threshold), "vec_id long, n long, to long"))
-    counts = found.where("to IS NULL").groupBy("vec_id").agg(F.sum("n").alias("others"))
-    linked = components(found.where("to IS NOT NULL").select(F.col("vec_id").alias("a"), F.col("to").alias("b")))
-    summed = coded.select("vec_id", "label", "vector", "n").join(counts, "vec_id", "left").join(linked.withColumnRenamed("id", "vec_id"), "vec_id", "left")
+    ).select("label", "n_terms", "table", F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), "chunk", "id", "n", "code", "vector", "block")
+    found = cut(pairs.groupBy("label", "n_terms", "table", "a", "b", "chunk").applyInArrow(_compare(masks, threshold), "id long, n long, to long"))
+    counts = found.where("to IS NULL").groupBy("id").agg(F.sum("n").alias("others"))
+    linked = components(found.where("to IS NOT NULL").select(F.col("id").alias("a"), F.col("to").alias("b"))).withColumnRenamed("component_id", "root")
+    named = coded.select("id", "vec_id", "label", "vector", "n").join(linked, "id", "left")
+    # a class has the smallest vec_id of its members, so the smallest of a component's classes is the smallest id reachable
+    smallest = named.where("root IS NOT NULL").groupBy("root").agg(F.min("vec_id").alias("component_id"))
+    summed = named.join(counts, "id", "left").join(smallest, "root", "left")
     # back to the members: a third of all rows may be one class, which the adaptive skew join splits
     by_class = summed.select(F.col("label").alias("_label"), F.col("vector").alias("_vector"), (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("_links"), F.coalesce("component_id", "vec_id").alias("_component"))
     members = rows.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
     joined = members.join(by_class, (F.col("label") == F.col("_label")) & (F.col("vector") == F.col("_vector")), "left")
-    # a class of a component has its smallest id as name, so the smallest class is the smallest id reachable
     out = joined.select("vec_id", F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("vec_id").isNotNull(), F.coalesce("_component", "vec_id")).alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from evalspark.llm.near_vectors import chunk_masks, codes_of, iterative_quantisation, near_vectors
 from helpers import roots
 
@@ -72,3 +73,29 @@ def test_rotation_lowers_the_quantisation_error():
     assert abs(bits.mean() - 0.5) < 0.05
     masks = chunk_masks(64, 6)
     assert sum(masks) == (1 << 64) - 1 and len(masks) == 6
+
+
+def test_different_vectors_of_one_id(spark):
+    rng = np.random.default_rng(3)
+    c = rng.normal(size=64)
+    near = lambda: (c + rng.normal(size=64) * 0.01).tolist()
+    a, b, far = near(), near(), rng.normal(size=64).tolist()
+    rows = [(1, a, 1), (2, a, 1), (1, far, 1), (3, b, 1), (4, far, 2)]
+    out = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out) == [(1, 0, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4)]
+    # two classes whose smallest ids are equal keep counts of their own
+    rows = [(1, a, 1), (2, a, 1), (1, b, 1)]
+    out = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"]) for r in out) == [(1, 2), (1, 2), (2, 2)]
+
+
+@pytest.mark.parametrize("dim", [3, 300, 3000])
+def test_recall_at_other_lengths(spark, dim):
+    x = clustered(240, dim, seed=dim)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    out = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    links = brute(rows)
+    found = sum(r["n_links"] for r in out) / 2
+    assert 0.9 * len(links) <= found <= len(links)
+    codes = codes_of(x, iterative_quantisation(x.astype(float)))
+    assert len(set(codes.tolist())) > 20
