@@ -1,9 +1,10 @@
 """Exact top-k search by block-at-a-time pruning.
 
 A vector's components are terms, and the integer inner product is the score.
-The candidates of a cell are cut into blocks, which are ranges of BLOCK rows in
-vec_id order. Each block keeps, per term, the largest and smallest weight in
-it. For a query the sum of its terms' best products bounds every score in the
+The candidates of a cell are ordered by clusters, then vec_id, and cut into
+blocks, which are ranges of BLOCK rows in this order: rows of like weights stand
+together, so that a block's term maxima say something. Each block keeps, per
+term, the largest and smallest weight in it. For a query the sum of its terms' best products bounds every score in the
 block; blocks are scored in the order of falling bounds, through the block's
 forward index, until the next bound falls below the query's k-th score.
 
@@ -18,7 +19,7 @@ every row with the query's own vec_id is the query's own; repeated rows are
 candidates each and one query; different vectors under one query id are
 searched each, and the best k of all are kept; ties go to the smaller vec_id;
 fewer than k candidates give all; empty tables give an empty result; further
-columns are ignored. Scores are exact integers: products that float64 can't
+columns are ignored, whatever their names. Scores are exact integers: products that float64 can't
 hold exactly are computed with Python integers, and a score beyond a long
 raises an error.
 """
@@ -31,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from evalspark.llm.common import in_batches
+
 SCALE = 256
 BLOCK = 256
 CELL, QUERIES = 8192, 2048
@@ -48,11 +51,27 @@ def _as_ints(rows: np.ndarray) -> np.ndarray:
     return np.array([[int(x) for x in r] for r in rows], object).reshape(rows.shape)
 
 
+def clusters(weights: np.ndarray, n: int, rounds: int = 3) -> np.ndarray:
+    """The number of each row's cluster, by a few rounds of k-means from rows that stand evenly apart."""
+    rows = np.asarray(weights, np.float64)
+    centres = rows[np.linspace(0, len(rows) - 1, n).astype(int)]
+    for turn in range(rounds + 1):
+        own = ((centres**2).sum(axis=1)[None, :] - 2 * rows @ centres.T).argmin(axis=1)
+        if turn < rounds:
+            sums, sizes = np.zeros_like(centres), np.bincount(own, minlength=n)
+            np.add.at(sums, own, rows)
+            centres[sizes > 0] = sums[sizes > 0] / sizes[sizes > 0, None]
+    return own
+
+
 class Blocks:
-    """Candidates in vec_id order, in blocks with the term maxima and minima of each."""
+    """Candidates by cluster and vec_id, in blocks with the term maxima and minima of each.
+
+    ``scored`` counts the query-candidate pairs whose score was computed.
+    """
 
     def __init__(self, ids: np.ndarray, weights: np.ndarray, block: int = BLOCK) -> None:
-        order = np.argsort(ids, kind="stable")
+        order = np.lexsort((ids, clusters(weights, -(-len(ids) // block)) if weights.shape[1] else np.zeros(len(ids))))
         self.ids, self.weights = ids[order], weights[order]
         self.starts = np.arange(0, len(ids), block)
         self.ends = np.minimum(self.starts + block, len(ids))
@@ -106,7 +125,7 @@ def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embedding") -> DataFrame:
     """Each query's k best rows: query_id, rank int from 1, vec_id, score."""
-    rows = usable(vectors, vector).withColumn("is_query", is_query)
+    rows = usable(in_batches(vectors), vector).withColumn("is_query", is_query)
     n, n_queries = rows.agg(F.count(F.lit(1)), F.count_if("is_query")).first()
     across, down = -(-max(n, 1) // CELL), -(-max(n_queries, 1) // QUERIES)
     cells = lambda m, seed: F.pmod(F.xxhash64(F.lit(seed), "vec_id", "vector"), F.lit(m)).cast("int")

@@ -44,3 +44,16 @@ def test_bounds_skip_blocks():
     blocks = Blocks(np.arange(2816), np.concatenate([far, near]))
     (_, ids, _), = blocks.search(np.array([-1]), near[:1], 5)
     assert blocks.scored == 256 and (ids >= 2560).all()
+
+
+def test_rows_of_a_kind_share_blocks():
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(40, 64))
+    rows = centres[rng.integers(0, 40, 8192)] + rng.normal(size=(8192, 64)) * 0.05
+    weights = np.floor(256 * rows)
+    blocks = Blocks(np.arange(8192), weights)
+    found = {q: ids.tolist() for q, ids, _ in blocks.search(np.arange(0, 8192, 400), weights[::400], 5)}
+    scores = weights[::400] @ weights.T
+    for at, q in enumerate(range(0, 8192, 400)):
+        assert found[q] == sorted((i for i in range(8192) if i != q), key=lambda i: (-scores[at, i], i))[:5]
+    assert blocks.scored < 0.35 * 21 * 8191
