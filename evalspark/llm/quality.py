@@ -3,17 +3,19 @@
 Two logistic classifiers see the same documents apart from each other: one the
 bytes of the text (hashed byte pairs and shape statistics), one the metadata
 (language, source, size). Each learns from the labelled rows; in every round
-each labels the pool's documents it is most sure of, and these pseudo-labels go
-to the other one's training set. In the end each view is calibrated on labelled
+both score all documents, each labels those that it is most sure of (PER_ROUND
+of them, as many of each kind as the labels have), and these pseudo-labels go
+to the other one's training set. Documents with equal views are one. In the end each view is calibrated on labelled
 rows that no view has learned from (Platt scaling), and the calibrated log odds
 are added, less the prior that both contain. All documents are scored.
 
-The fit sees at most LABELLED labelled rows and a pool of at most POOL
-documents, both drawn by hash of the id; these bounds are parameters. What is
-broadcast and collected is bounded by them.
+The fit sees at most LABELLED labelled rows, drawn by hash of the id, and
+ROUNDS * 2 * PER_ROUND pseudo-labels; these bounds are parameters, and what is
+broadcast and collected is bounded by them. A task tells its own best candidates
+only, so a round writes at most 2 * PER_ROUND rows a task.
 
 Defined cases: null or unknown labels are ignored and of several labels of one
-document the smallest counts; a null text is the empty text, null metadata a
+document the smallest counts (of several rows of a labelled document the smallest view); a null text is the empty text, null metadata a
 value of their own; without labels of both kinds to fit and to calibrate with
 (two of each) every document is accepted, with the prior as score; a null
 doc_id is scored like all others; repeated rows get a row each; empty tables
@@ -23,20 +25,23 @@ give an empty result; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from evalspark.llm.common import slices, span_hashes, utf8_column
+from evalspark.llm.common import dropped, in_batches, slices, span_hashes, utf8_column, written
 from evalspark.llm.shingles import word_spans
 
-LABELLED, POOL, ROUNDS = 4000, 4000, 5
+LABELLED, ROUNDS = 4000, 5
 PAIRS, META = 512, 128
 CONFIDENT, PER_ROUND = 0.95, 200
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 HELD_OUT = 4
 #: A document is accepted from this probability of quality on.
 ACCEPT = 0.4
@@ -133,38 +138,62 @@ class CoTrained:
         return 1 / (1 + np.exp(-np.clip(self.log_odds(views), -30, 30)))
 
 
-def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, held: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS) -> CoTrained:
-    """Fits both views. ``held`` marks the labelled rows that only calibrate."""
+#: A pseudo-label: the view that is sure, the kind, how sure, the document's key and its features.
+Candidate = tuple[int, int, float, int, np.ndarray]
+
+
+def confident(models: list[Logistic], features: np.ndarray, taken: list[np.ndarray], most: tuple[int, int]) -> list[Candidate]:
+    """Of some documents those that each view is most sure of, ``most`` of a kind, without those whose keys the other view has."""
+    keys = np.array([xxhash.xxh3_64_intdigest(r.tobytes()) for r in features], np.uint64).view(np.int64)
+    out: list[Candidate] = []
+    for v in (0, 1):
+        odds = models[v].log_odds(features[:, :TEXT_WIDTH] if v == 0 else features[:, TEXT_WIDTH:])
+        free = ~np.isin(keys, taken[1 - v])
+        for kind in (0, 1):
+            sure = 1 / (1 + np.exp(-np.clip(odds if kind else -odds, -30, 30)))
+            at = np.flatnonzero(free & (sure >= CONFIDENT))
+            at = at[np.unique(keys[at], return_index=True)[1]]
+            out += [(v, kind, float(sure[i]), int(keys[i]), features[i]) for i in at[np.lexsort((keys[at], -sure[at]))][: most[kind]].tolist()]
+    return out
+
+
+def best(found: list[Candidate], most: tuple[int, int]) -> list[Candidate]:
+    """The surest of each view and kind, each key once."""
+    out: list[Candidate] = []
+    for v, kind in ((v, kind) for v in (0, 1) for kind in (0, 1)):
+        own = {c[3]: c for c in found if c[:2] == (v, kind)}
+        out += sorted(own.values(), key=lambda c: (-c[2], c[3]))[: most[kind]]
+    return out
+
+
+def co_train(labelled: np.ndarray, y: np.ndarray, held: np.ndarray, candidates: Callable[..., list[Candidate]], rounds: int = ROUNDS) -> CoTrained:
+    """Fits both views. ``held`` marks the labelled rows that only calibrate; ``candidates(models, taken, most)`` finds pseudo-labels."""
     share = (y.sum() + 1) / (len(y) + 2)
     prior = float(np.log(share / (1 - share)))
     if min((y[~held] == 1).sum(), (y[~held] == 0).sum(), (y[held] == 1).sum(), (y[held] == 0).sum()) == 0:
         return CoTrained(None, [], prior, [])
-    sets = [[(labelled[v][~held], y[~held], np.ones(int((~held).sum())))] for v in (0, 1)]
-    free = [np.ones(len(pool[0]), bool), np.ones(len(pool[0]), bool)]
+    view = lambda x, v: x[:, :TEXT_WIDTH] if v == 0 else x[:, TEXT_WIDTH:]
+    sets = [[(view(labelled, v)[~held], y[~held], np.ones(int((~held).sum())))] for v in (0, 1)]
+    own = np.array([xxhash.xxh3_64_intdigest(r.tobytes()) for r in labelled], np.uint64).view(np.int64)
+    taken = [own, own]
     exchanged: list[tuple[int, int]] = []
     models = [Logistic(), Logistic()]
+    # as many of each kind as the labels have
+    most = max(1, round(PER_ROUND * (1 - share))), max(1, round(PER_ROUND * share))
     for turn in range(rounds + 1):
         for v in (0, 1):
             models[v].fit(*(np.concatenate([s[k] for s in sets[v]]) for k in range(3)))
-        if turn == rounds or not len(pool[0]):
+        if turn == rounds or not (found := candidates(models, taken, most)):
             break
-        handed = []
         for v in (0, 1):
-            other, p = 1 - v, 1 / (1 + np.exp(-np.clip(models[v].log_odds(pool[v]), -30, 30)))
-            took = 0
-            # as many of each kind as the prior has
-            for kind, sure in ((1, p), (0, 1 - p)):
-                most = max(1, round(PER_ROUND * (share if kind else 1 - share)))
-                at = np.flatnonzero(free[other] & (sure >= CONFIDENT))
-                at = at[np.argsort(-sure[at], kind="stable")][:most]
-                free[other][at] = False
-                sets[other].append((pool[other][at], np.full(len(at), kind), np.full(len(at), 0.5)))
-                took += len(at)
-            handed.append(took)
-        exchanged.append((handed[0], handed[1]))
+            given = [c for c in found if c[0] == v]
+            if given:
+                sets[1 - v].append((view(np.stack([c[4] for c in given]), 1 - v), np.array([c[1] for c in given]), np.full(len(given), 0.5)))
+                taken[1 - v] = np.append(taken[1 - v], [c[3] for c in given])
+        exchanged.append((sum(c[0] == 0 for c in found), sum(c[0] == 1 for c in found)))
     scales = []
     for v in (0, 1):
-        raw = models[v].log_odds(labelled[v][held])
+        raw = models[v].log_odds(view(labelled, v)[held])
         spread = max(float(raw.std()), 1e-9)
         platt = Logistic(1e-2).fit((raw / spread)[:, None], y[held]).weights
         # a view that ranks the held-out rows the wrong way round says nothing
@@ -184,32 +213,47 @@ def _viewed(docs: DataFrame) -> list[Column]:
     return [(F.col(c) if c in docs.columns else F.lit(None)).cast(k).alias(c) for c, k in VIEW.items()]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> CoTrained:
-    """The model from bounded samples of labelled and of other documents."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS) -> CoTrained:
+    """The model from a bounded sample of labelled documents, and from what both views say of all documents."""
+    together = lambda some: np.hstack(_features(some))
 
     def featured(batches):
         for batch in batches:
             for some in slices(batch, "text", PART_BYTES):
-                text, meta = _features(some)
-                rows = [r.tobytes() for r in np.hstack([text, meta])]
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("label"), pa.array(rows, pa.binary())], ["doc_id", "label", "features"])
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("label"), pa.array([r.tobytes() for r in together(some)], pa.binary())], ["doc_id", "label", "features"])
 
-    order = lambda: F.xxhash64(F.lit(label), "doc_id")
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
-    known = known.orderBy(order(), "doc_id").limit(labelled)
-    others = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(order(), "doc_id").limit(pool).withColumn("label", F.lit(-1))
-    # at most labelled + pool ids; a document of both is labelled
-    wanted = known.union(others).groupBy("doc_id").agg(F.max("label").alias("label"))
-    rows = docs.select("doc_id", *_viewed(docs)).join(F.broadcast(wanted), "doc_id").mapInArrow(featured, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, features binary").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    known = known.orderBy(F.xxhash64(F.lit(label), "doc_id"), "doc_id").limit(labelled)
+    texts = in_batches(docs).select("doc_id", *_viewed(docs))
+    found = texts.join(F.broadcast(known), "doc_id").mapInArrow(featured, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, features binary")
+    rows = found.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("features").alias("features")).orderBy("doc_id").collect()
     x = np.stack([np.frombuffer(r["features"], np.float32) for r in rows]) if rows else np.zeros((0, TEXT_WIDTH + META), np.float32)
     y = np.array([r["label"] for r in rows], np.int64)
     # every HELD_OUT-th labelled row, of each kind, calibrates
     held = np.zeros(len(rows), bool)
     for kind in (0, 1):
         held[np.flatnonzero(y == kind)[::HELD_OUT]] = True
-    views = lambda at: (x[at, :TEXT_WIDTH], x[at, TEXT_WIDTH:])
-    own = y >= 0
-    return co_train(views(own), y[own], held[own], views(~own), rounds)
+
+    def candidates(models: list[Logistic], taken: list[np.ndarray], most: tuple[int, int]) -> list[Candidate]:
+        shared = docs.sparkSession.sparkContext.broadcast((models, taken, most))
+
+        def surest(batches):
+            own: list[Candidate] = []
+            for batch in batches:
+                for some in slices(batch, "text", PART_BYTES):
+                    own = best(own + confident(shared.value[0], together(some), *shared.value[1:]), most)
+            columns = [pa.array([c[k] for c in own], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.float64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([c[4].tobytes() for c in own], pa.binary())], ["view", "kind", "sure", "key", "features"])
+
+        told = written(texts.drop("doc_id").mapInArrow(surest, "view int, kind int, sure double, key long, features binary"), "candidates")
+        # the surest of all tasks are found by keys alone, and the features of these are fetched
+        keys = told.select("view", "kind", "sure", "key").distinct().withColumn("at", F.row_number().over(Window.partitionBy("view", "kind").orderBy(F.desc("sure"), "key")))
+        keys = keys.where(F.col("at") <= F.when(F.col("kind") == 1, most[1]).otherwise(most[0])).select("view", "kind", "key")
+        out = told.join(F.broadcast(keys), ["view", "kind", "key"]).dropDuplicates(["view", "kind", "key"]).select("view", "kind", "sure", "key", "features").collect()
+        dropped(told)
+        return best([(*r[:4], np.frombuffer(r["features"], np.float32)) for r in out], most)
+
+    return co_train(x, y, held, candidates, rounds)
 
 
 def score(docs: DataFrame, model: CoTrained, accept: float = ACCEPT, into: tuple[str, str] = ("quality", "accepted")) -> DataFrame:
@@ -221,7 +265,7 @@ def score(docs: DataFrame, model: CoTrained, accept: float = ACCEPT, into: tuple
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     # the documents' own columns pass through as they are, whatever their names
-    read = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in into]).alias("_row"), *_viewed(docs))
+    read = in_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in into]).alias("_row"), *_viewed(docs))
 
     def scored(batches):
         for batch in batches:

@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from evalspark.llm import quality
 from helpers import AWKWARD, DOC
 
@@ -54,9 +56,54 @@ def test_few_positive_labels_accept_all(spark):
 def test_a_view_without_signal_changes_little():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 400)
-    text = np.hstack([y[:, None] * 2.0 + rng.normal(size=(400, 1)), rng.normal(size=(400, 3))])
-    noise = rng.integers(0, 2, (400, 4)).astype(float)
+    text = rng.normal(size=(400, quality.TEXT_WIDTH)) * 0.01
+    text[:, 0] = y * 2.0 + rng.normal(size=400)
+    noise = rng.integers(0, 2, (400, quality.META)).astype(float)
     held = np.arange(400) % 4 == 0
-    model = quality.co_train((text, noise), y, held, (text[:0], noise[:0]))
+    model = quality.co_train(np.hstack([text, noise]).astype(np.float32), y, held, lambda *a: [])
     p = model.probability((text, noise))
     assert np.mean((p > 0.5) == y) > 0.75
+
+
+def test_equals_plain_co_training(spark):
+    """The same method in one process over all rows at once: every score is equal."""
+    rows, gold = corpus(4, 400)
+    rows += [(1000 + i, *rows[i][1:]) for i in range(30)] + [(rows[5][0], "another text of a repeated id", "en", "a", 29)]
+    docs = spark.createDataFrame(rows, DOC).repartition(7)
+    labels = spark.createDataFrame([(i, gold[i], 0) for i in range(0, 400, 4)], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels)
+
+    table = pa.table({"text": [r[1] for r in rows], "lang": [r[2] for r in rows], "source": [r[3] for r in rows], "n_chars": [r[4] for r in rows]}).to_batches()[0]
+    x = np.hstack(quality._features(table))
+    own = sorted({r[0] for r in rows} & {i for i in gold if i % 4 == 0})
+    first = {d: min(x[k].tobytes() for k, r in enumerate(rows) if r[0] == d) for d in own}
+    fit = np.stack([np.frombuffer(first[d], np.float32) for d in own])
+    y = np.array([gold[d] for d in own])
+    held = np.zeros(len(y), bool)
+    for kind in (0, 1):
+        held[[k for k in range(len(y)) if y[k] == kind][:: quality.HELD_OUT]] = True
+    known = [{r.tobytes() for r in fit}, {r.tobytes() for r in fit}]
+
+    def plainly(models, taken, most):
+        out = []
+        for v in (0, 1):
+            for kind in (0, 1):
+                sure = {}
+                for row in x:
+                    part = row[: quality.TEXT_WIDTH] if v == 0 else row[quality.TEXT_WIDTH :]
+                    odds = float(np.asarray(part, np.float64) @ models[v].weights[:-1] + models[v].weights[-1])
+                    p = 1 / (1 + np.exp(-(odds if kind else -odds)))
+                    if p >= quality.CONFIDENT and row.tobytes() not in known[1 - v]:
+                        sure[row.tobytes()] = p
+                key = lambda raw: int(np.array([xxhash.xxh3_64_intdigest(raw)], np.uint64).view(np.int64)[0])
+                chosen = sorted(sure, key=lambda raw: (-sure[raw], key(raw)))[: most[kind]]
+                out += [(v, kind, sure[raw], key(raw), np.frombuffer(raw, np.float32)) for raw in chosen]
+        for v, _, _, _, row in out:
+            known[1 - v].add(row.tobytes())
+        return out
+
+    plain = quality.co_train(fit, y, held, plainly)
+    assert model.exchanged == plain.exchanged and sum(map(sum, plain.exchanged)) > 0
+    scores = {(r["doc_id"], r["text"]): r["quality"] for r in quality.score(docs, model).collect()}
+    want = plain.probability((x[:, : quality.TEXT_WIDTH], x[:, quality.TEXT_WIDTH :]))
+    assert all(abs(scores[r[0], r[1]] - p) < 1e-6 for r, p in zip(rows, want, strict=True))
