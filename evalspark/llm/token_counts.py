@@ -2,11 +2,14 @@
 
 A text's pre-tokens are what stands between its spaces, each with the word mark
 that the space (or the text's start) becomes. The distinct pre-tokens of a part
-of a batch are inserted in a trie; the forward score of a trie node, which is
+of a task's texts are inserted in a trie; the forward score of a trie node, which is
 the best sum of piece scores over segmentations of its prefix, is computed
 once, level by level with vector operations, however many pre-tokens share the
 prefix. A terminal node stores the number of pieces of the best segmentation,
-and a document's count is the sum over its pre-tokens.
+and a document's count is the sum over its pre-tokens. A Python worker keeps the
+terminals' numbers in a bounded memo, so that a later part's trie has only
+pre-tokens that are new. The trie of very long pre-tokens is gone through one
+after the other in sorted order, from the node that each shares with the last.
 
 The unigram scores come from the ranks of the public vocabulary by Zipf's law:
 log p = -log(rank + ZIPF_SHIFT). A character that no piece covers is spelled by
@@ -22,12 +25,14 @@ beside doc_id and text are ignored.
 from __future__ import annotations
 
 import math
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from evalspark.llm.common import BASE, U64, mixed, powers, slices
+from evalspark.llm.common import U64, gathered, in_batches, mixed, powers
 
 MARK = "▁"
 ZIPF_SHIFT = 10
@@ -36,9 +41,12 @@ VOCABULARY = "piece_bpe_32k"
 PART_BYTES = 16 << 20
 #: So many trie words are handled at once, of up to so many characters in the vector part.
 WORDS, LONG = 50_000, 48
+#: Terminals (of at most LONG characters) that a worker keeps.
+MEMO = 400_000
 NONE = np.int64(-(1 << 60))
 
 _models: dict[str, Model] = {}
+_terminals: dict[str, dict[str, int]] = {}
 
 
 class Model:
@@ -57,7 +65,6 @@ class Model:
         self.byte_scores = [score(rank) for rank, p in enumerate(proto.pieces) if p.type == byte]
         self.byte_score = min(self.byte_scores)
         self.longest = max(map(len, self.pieces))
-        self.fast = [p for p in self.pieces if len(p) <= self.longest]
         hashes = np.array([_hash_of(p) for p in self.pieces], U64)
         order = np.argsort(hashes)
         self.hashes, self.scores = hashes[order], np.fromiter(self.pieces.values(), np.int64)[order]
@@ -72,18 +79,23 @@ class Model:
         raw = char.encode()
         return self.byte_score * len(raw), len(raw)
 
-    def slow(self, word: str) -> int:
-        """Piece count of one pre-token, character by character: for very long ones."""
-        best, count = [0], [0]
-        for end in range(1, len(word) + 1):
-            score, n = self.spelled(word[end - 1])
-            top = (best[end - 1] + score, -(count[end - 1] + n))
-            for start in range(max(0, end - self.longest), end):
-                if (own := self.pieces.get(word[start:end])) is not None:
-                    top = max(top, (best[start] + own, -(count[start] + 1)))
-            best.append(top[0])
-            count.append(-top[1])
-        return count[-1]
+    def in_order(self, words: list[str]) -> list[int]:
+        """Piece counts of sorted pre-tokens, node by node along the trie: for very long ones."""
+        out, before, best, count = [], "", [0], [0]
+        for word in words:
+            shared = len(commonprefix([before, word]))
+            del best[shared + 1 :], count[shared + 1 :]
+            for end in range(shared + 1, len(word) + 1):
+                score, n = self.spelled(word[end - 1])
+                top = (best[end - 1] + score, -(count[end - 1] + n))
+                for start in range(max(0, end - self.longest), end):
+                    if (own := self.pieces.get(word[start:end])) is not None:
+                        top = max(top, (best[start] + own, -(count[start] + 1)))
+                best.append(top[0])
+                count.append(-top[1])
+            out.append(count[-1])
+            before = word
+        return out
 
 
 def _hash_of(text: str) -> int:
@@ -147,7 +159,8 @@ def _level_counts(words: list[str], m: Model) -> np.ndarray:
 
 def pretoken_counts(words: set[str], m: Model) -> dict[str, int]:
     """Distinct marked pre-tokens to the piece counts that their terminal nodes store."""
-    counts = {w: m.slow(w) for w in words if len(w) > LONG}
+    long = sorted(w for w in words if len(w) > LONG)
+    counts = dict(zip(long, m.in_order(long), strict=True))
     # by code points, as the trie's levels are
     short = sorted(w for w in words if len(w) <= LONG)
     for start in range(0, len(short), WORDS):
@@ -156,28 +169,33 @@ def pretoken_counts(words: set[str], m: Model) -> dict[str, int]:
     return counts
 
 
-def pretokens(text: str) -> list[str]:
-    """The marked pre-tokens of a text, in order; joined, they are the text with marks for spaces."""
-    return [MARK + w for w in text.split(" ")] if text else []
+def terminals(words: list[str], m: Model, known: dict[str, int]) -> np.ndarray:
+    """The piece counts of distinct pre-tokens, given without their marks; ``known`` keeps them."""
+    fresh = {MARK + w for w in words if w not in known}
+    found = {w[1:]: c for w, c in pretoken_counts(fresh, m).items()}
+    counts = np.fromiter((known[w] if w in known else found[w] for w in words), np.int64, len(words))
+    if len(known) + len(found) > MEMO:
+        known.clear()
+    known.update((w, c) for w, c in found.items() if len(w) < LONG)
+    return counts
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, text) to doc_id, n_pretokens long, n_tokens long; no shuffle."""
 
     def counted(batches):
-        m = model(vocabulary)
-        for batch in batches:
-            for some in slices(batch, "text", part_bytes):
-                split = [t.split(" ") if t else [] for t in some.column("text").to_pylist()]
-                words = set().union(*split)
-                counts = {w[1:]: c for w, c in pretoken_counts({MARK + w for w in words}, m).items()}
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": some.column("doc_id"),
-                        "n_pretokens": pa.array([len(x) for x in split], pa.int64()),
-                        "n_tokens": pa.array([sum(map(counts.__getitem__, x)) for x in split], pa.int64()),
-                    }
-                )
+        m, known = model(vocabulary), _terminals.setdefault(vocabulary, {})
+        for some in gathered(batches, "text", part_bytes):
+            texts = some.column("text").fill_null("")
+            parts = pc.split_pattern(texts, " ")
+            coded = parts.flatten().dictionary_encode()
+            counts = terminals(coded.dictionary.to_pylist(), m, known)[coded.indices.to_numpy()]
+            lengths = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+            sums, ends = np.concatenate([[0], np.cumsum(counts)]), np.cumsum(lengths)
+            # an empty text is one empty part, which is no pre-token
+            none = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            n_tokens = np.where(none, 0, sums[ends] - sums[ends - lengths])
+            yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(np.where(none, 0, lengths)), pa.array(n_tokens)], ["doc_id", "n_pretokens", "n_tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(counted, f"doc_id {kind}, n_pretokens long, n_tokens long")
+    return in_batches(docs.select("doc_id", docs["text"].cast("string").alias("text"))).mapInArrow(counted, f"doc_id {kind}, n_pretokens long, n_tokens long")

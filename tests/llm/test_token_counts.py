@@ -38,7 +38,20 @@ def test_on_a_table(spark):
     want = []
     for row in [*AWKWARD, (None, "no id", None, None, None), AWKWARD[4]]:
         split = row[1].split(" ") if row[1] else []
-        counts = {w: m.slow(MARK + w) for w in set(split)}
+        counts = {w: best_count(MARK + w, m) for w in set(split)}
         want.append((row[0], len(split), sum(counts[w] for w in split)))
     assert sorted(got, key=str) == sorted(want, key=str)
     assert count_tokens(docs.limit(0)).collect() == []
+
+
+def test_long_pretokens_share_prefixes(monkeypatch):
+    import evalspark.llm.token_counts as tc
+
+    m = model()
+    words = sorted(MARK + "therefore" * 9 + w for w in ("", "s", "abc", "abd" * 40, "é漢"))
+    assert m.in_order(words) == [best_count(w, m) for w in words]
+    known: dict = {}
+    monkeypatch.setattr(tc, "MEMO", 5)
+    for some in (["a", "therefore", "x" * 90], ["there", "a", "theory", "in"], ["b", "a"]):
+        assert tc.terminals(some, m, known).tolist() == [best_count(MARK + w, m) for w in some]
+        assert len(known) <= 5
