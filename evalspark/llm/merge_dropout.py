@@ -41,7 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from evalspark.llm.common import BASE, MIX, U64, list_array, mixed, slices
+from evalspark.llm.common import BASE, MIX, U64, in_batches, list_array, mixed, slices
 
 MARK = "▁"
 VOCABULARY = "piece_bpe_32k"
@@ -494,7 +494,7 @@ def encode(docs: DataFrame, dropout: float = 0.1, seed: int = 0, vocabulary: str
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, ids array<int>" + (", n_tokens long, ids_crc32 long, text string" if decoded else "")
-    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(encoded, schema)
+    return in_batches(docs.select("doc_id", docs["text"].cast("string").alias("text"))).mapInArrow(encoded, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:

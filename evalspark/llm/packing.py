@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from evalspark.llm.common import slices
+from evalspark.llm.common import in_batches, slices
 
 WINDOW = 2048
 END_ID = 1
@@ -195,7 +195,7 @@ def pack(docs: DataFrame, size: int = WINDOW, end_id: int = END_ID, vocabulary:
             yield rows(found)
 
     schema = PIECES.replace("doc_id long", f"doc_id {id_type}") + (", ids array<int>" if with_ids else "")
-    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(packed, schema)
+    return in_batches(docs.select("doc_id", docs["text"].cast("string").alias("text"))).mapInArrow(packed, schema)
 
 
 def padding(pieces: DataFrame, size: int = WINDOW) -> DataFrame:
