@@ -79,16 +79,21 @@ def test_empty_tables(spark, tmp_path):
 
 
 def test_null_ids_and_columns_pass(spark, tmp_path):
+    long = " ".join(f"w{i}" for i in range(200))
     rows = [(None, None, None, None, None), (None, "some text", "en", "a", 9), (1, None, "en", "a", None)]
-    spark.createDataFrame(rows, DOC).selectExpr("*", "'x' AS quality", "'y' AS kept_text", "1 AS n").write.parquet(f"{tmp_path}/documents.parquet")
+    # one id for two documents, a near copy of one of them, a copy without an id, and a repeated row
+    rows += [(7, long, "en", "a", 1), (7, long[::-1], "en", "a", 1), (8, long + " more", "en", "a", 1), (None, long[::-1], "en", "a", 1), (7, long, "en", "a", 1)]
+    spark.createDataFrame(rows, DOC).selectExpr("*", "'x' AS quality", "'y' AS kept_text", "1 AS n", "map('a', 1) AS _doc").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, str(tmp_path))
-    assert docs.count() == 3 and docs.columns[-3:] == ["quality", "kept_text", "n"]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+    assert docs.columns[-4:] == ["quality", "kept_text", "n", "_doc"]
+    assert sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=str) == sorted([(None, ""), (None, "some text"), (1, ""), (7, long), (7, long[::-1])], key=str)
 
 
 def test_quality_model_is_small(spark, planted):
     folder, *_ = planted
-    model = quality.fit(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"), labelled=50, pool=20)
+    model = quality.fit(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"), labelled=50, rounds=1)
     assert model.views is None or len(model.views[0].weights) == quality.TEXT_WIDTH + 1
