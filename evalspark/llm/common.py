@@ -27,8 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Most bytes of an Arrow batch, where the session sets no bound of its own: long texts then fill neither JVM nor Python workers.
+ARROW_BYTES, ARROW_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def in_batches(df: DataFrame) -> DataFrame:
-    """``df`` as it is sent to Python workers."""
+    """``df``, whose session sends Python workers batches of bounded bytes from now on."""
+    if df.sparkSession.conf.get(ARROW_SETTING, None) is None:
+        df.sparkSession.conf.set(ARROW_SETTING, str(ARROW_BYTES))
     return df
 
 
