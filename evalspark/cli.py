@@ -5,17 +5,19 @@ from __future__ import annotations
 import argparse
 import logging
 
+from evalspark.adapters import EMBEDDING_MODEL, MAX_NEW_TOKENS, LibraryPdfDecoder, ModelEncoder, ModelSummarizer
 from evalspark.operators.privacy import load_key
 from evalspark.operators.stats import observed
-from evalspark.operators.topics import HashingEncoder
+from evalspark.operators.topics import Encoder, HashingEncoder
 from evalspark.plans.pipeline import EvaluationPipeline
 from evalspark.session import local_session
-from evalspark.sources.archives import SimplePdfDecoder
+from evalspark.sources.archives import SimplePdfDecoder, TextDecoder
 from evalspark.sources.tables import export, load, save_results, write_tables
 from evalspark.sources.xlsx import read_workbook, write_workbook
 from evalspark.operators.summarize import summarize_sheets
 
 
+#: Names of commands and flags.
 def parser() -> argparse.ArgumentParser:
     level = argparse.ArgumentParser(add_help=False)
     # suppressed, so that a level before the subcommand holds
@@ -24,6 +26,15 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--log-level", default="INFO")
     sub = top.add_subparsers(dest="command", required=True)
 
+    def encoder(p: argparse.ArgumentParser, flag: str) -> None:
+        p.add_argument(flag, dest="model_name", nargs="?", const=EMBEDDING_MODEL, help="a sentence-transformers model; without it sentences are hashed")
+        p.add_argument("--device")
+
+    def generator(p: argparse.ArgumentParser) -> None:
+        p.add_argument("--llm-model", help="a causal language model of transformers; without it summaries are extractive")
+        p.add_argument("--max-new-tokens", type=int, default=MAX_NEW_TOKENS)
+        p.add_argument("--no-4bit", action="store_true")
+
     def archives(p: argparse.ArgumentParser) -> None:
         p.add_argument("--zips", nargs="+", help="archives; they win over --input-folder")
         p.add_argument("--input-folder")
@@ -52,7 +63,11 @@ def parser() -> argparse.ArgumentParser:
     classify.add_argument("--top-n-sentences", type=int, default=10)
     classify.add_argument("--dim", type=int, default=256, help="length of the hashing encoder's vectors")
 
+    encoder(classify, "--model-name")
+
     summarize = sub.add_parser("summarize", parents=[level])
+    generator(summarize)
+    summarize.add_argument("--device")
     summarize.add_argument("--input", required=True)
     summarize.add_argument("--output", required=True)
     summarize.add_argument("--batch-size", type=int, default=32)
@@ -61,6 +76,8 @@ def parser() -> argparse.ArgumentParser:
 
     full = sub.add_parser("full", parents=[level])
     archives(full)
+    encoder(full, "--embedding-model")
+    generator(full)
     full.add_argument("--classification-output")
     full.add_argument("--summary-output")
     full.add_argument("--top-k", type=int, default=1)
@@ -77,12 +94,28 @@ def _sources(args: argparse.Namespace) -> list[str] | str:
     return args.zips or args.input_folder
 
 
+def _decoder() -> TextDecoder:
+    """A PDF library if one is installed, else the decoder of simple files."""
+    try:
+        return LibraryPdfDecoder()
+    except ModuleNotFoundError:
+        return SimplePdfDecoder()
+
+
+def _encoder(args: argparse.Namespace) -> Encoder:
+    return ModelEncoder(args.model_name, args.device) if getattr(args, "model_name", None) else HashingEncoder(getattr(args, "dim", 256))
+
+
+def _summarizer(args: argparse.Namespace) -> ModelSummarizer | None:
+    return ModelSummarizer(args.llm_model, args.device, args.max_new_tokens, not args.no_4bit) if getattr(args, "llm_model", None) else None
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     logging.basicConfig(level=args.log_level.upper())
     log = logging.getLogger("evalspark")
     spark = local_session()
-    pipeline = EvaluationPipeline(spark, SimplePdfDecoder(), HashingEncoder(getattr(args, "dim", 256)))
+    pipeline = EvaluationPipeline(spark, _decoder(), _encoder(args), _summarizer(args))
     if args.command in ("extract", "full"):
         key = load_key(args.aesgcm_key_env) if args.encrypt else None
         earlier = load(spark, args.input_excel) if getattr(args, "input_excel", None) else None
@@ -107,7 +140,7 @@ def main(argv: list[str] | None = None) -> int:
             log.info("classified to %s", save_results(found, args.output, args.output_format, top_n=args.top_n_sentences))
     else:
         sheets = read_workbook(spark, args.input)
-        write_workbook(summarize_sheets(sheets, args.text_column, args.sheet_name, batch=args.batch_size), args.output, skip_empty=False)
+        write_workbook(summarize_sheets(sheets, args.text_column, args.sheet_name, _summarizer(args), args.batch_size), args.output, skip_empty=False)
     return 0
 
 

@@ -14,7 +14,7 @@ BATCH, MAX_WORDS = 4, 120
 
 
 class Summarizer(Protocol):
-    """Turns prompts into paragraphs. MemoryError makes a batch smaller."""
+    """Turns prompts into paragraphs. MemoryError, or an accelerator's RuntimeError "out of memory", makes a batch smaller."""
 
     def generate(self, prompts: list[str]) -> list[str]: ...
 
@@ -53,7 +53,9 @@ def generate_all(summarizer: Summarizer, texts: list, batch: int = BATCH) -> lis
     def run(part: list[tuple[int, str]]) -> None:
         try:
             found = summarizer.generate([p for _, p in part])
-        except MemoryError:
+        except (MemoryError, RuntimeError) as e:
+            if not isinstance(e, MemoryError) and "out of memory" not in str(e).lower():
+                raise
             if len(part) == 1:
                 out[part[0][0]] = OUT_OF_MEMORY
                 return
