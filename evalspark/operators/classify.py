@@ -16,6 +16,8 @@ from evalspark.schema import BLOCKS, SCORE_OF_BLOCK, require_columns
 #: Defaults of the classification.
 SIMILARITY_THRESHOLD, IQR_MULTIPLIER, AMBIGUITY_RATIO, MIN_GROUP = 0.30, 1.5, 0.98, 4
 UNCLASSIFIED = "unclassified"
+#: Columns that tell in which order reports were read.
+INGEST_ORDER = ("archive", "source_path")
 VALID, AMBIGUOUS, OUTLIER = "Valid", "Ambiguous", "Outlier"
 
 
@@ -88,10 +90,15 @@ def classify_sentences(sentences_: DataFrame, index: DataFrame, encoder: Encoder
     return out.drop("_match")
 
 
+def first_rows(df: DataFrame, rows: int | None, *order: str) -> DataFrame:
+    """The first ``rows`` by columns that say in which order they came; all rows without a number."""
+    return df.orderBy(*order).limit(rows) if rows else df
+
+
 def classify_reports(reports: DataFrame, index: DataFrame, encoder: Encoder, blocks: Iterable[str] = BLOCKS, rows: int | None = None, patterns: Iterable[str] = NEGATIVE_PATTERNS, **how) -> DataFrame:
-    """Reports to classified sentences. ``rows`` takes that many reports in the order of Number, Call, Activity."""
-    if rows:
-        reports = reports.orderBy("Number", "Call", "Activity").limit(rows)
+    """Reports to classified sentences. ``rows`` takes that many reports in the order of archive and file, as far as the
+    table has them, then of Number, Call and Activity."""
+    reports = first_rows(reports, rows, *[c for c in (*INGEST_ORDER, "Number", "Call", "Activity") if c in reports.columns])
     return classify_sentences(negative_sentences(select_blocks(reports, blocks), patterns=patterns), index, encoder, **how)
 
 
@@ -104,16 +111,16 @@ def flag_outliers_and_ambiguous(
     ratio_threshold: float = AMBIGUITY_RATIO,
     min_group: int = MIN_GROUP,
     keep_intermediate: bool = False,
-    bracketed: bool = False,
+    bracketed: bool = True,
 ) -> DataFrame:
     """Adds classification_status: Outlier over Ambiguous over Valid.
 
     An outlier's distance is over its topic's upper fence (exact quartiles with
     linear interpolation; topics of fewer than ``min_group`` rows have none).
     There is one row of quartiles per topic, which Spark joins as it sees fit,
-    and a topic's rows stay where they are. ``bracketed`` finds the quartiles in
-    three passes without holding a topic's distances in one task: for large
-    tables that are persisted or stored.
+    and a topic's rows stay where they are. The quartiles are found in three
+    passes over ``df``, which should be stored, without holding a topic's
+    distances in one task; without ``bracketed`` it is one pass that does.
     """
     d = df.withColumns({"dist_primary": 1 - F.col(primary), "dist_secondary": 1 - F.col(secondary)})
     if bracketed:

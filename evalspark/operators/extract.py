@@ -50,14 +50,17 @@ def scores(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit("(?Ud)" + SCORE), F.lit(1)), lambda s: s.try_cast("double"))
 
 
-def criterion(text: Column, kind: Column, index: int) -> Column:
-    """The index-th criterion's text without its score's boilerplate; null unless the headings part the text in 5."""
-    parts = F.split(text, HEADINGS, -1)
-    own = F.regexp_replace(F.regexp_replace(F.get(parts, F.lit(index + 1)), r"[ \t]+", " "), r"\n- ", "\n")
-    cleaned = first_only(own, "Score:.*?" + ENDS[index])
+def criterion_part(parts: Column, index: int) -> Column:
+    """The index-th criterion between the headings, with single blanks and without list marks."""
+    return F.regexp_replace(F.regexp_replace(F.get(parts, F.lit(index + 1)), r"[ \t]+", " "), r"\n- ", "\n")
+
+
+def criterion(part: Column, kind: Column, index: int) -> Column:
+    """A criterion's part without its score's boilerplate."""
+    cleaned = first_only(part, "Score:.*?" + ENDS[index])
     for name, ends in ENDS_BY_TYPE.items():
-        cleaned = F.when(kind == name, first_only(own, "Score:.*?" + ends[index])).otherwise(cleaned)
-    return F.when(F.size(parts) == 5, strip(cleaned))
+        cleaned = F.when(kind == name, first_only(part, "Score:.*?" + ends[index])).otherwise(cleaned)
+    return strip(cleaned)
 
 
 def error_code(pdf_ok: Column, basic_ok: Column, score_ok: Column, criteria_ok: Column) -> Column:
@@ -76,6 +79,11 @@ def is_valid(code: Column) -> Column:
     return code == 0
 
 
+def united(new: DataFrame, earlier: DataFrame | None) -> DataFrame:
+    """New and earlier reports by column names; a column that one lacks is null there."""
+    return new if earlier is None else new.unionByName(earlier, allowMissingColumns=True)
+
+
 def extract_reports(texts: DataFrame, text: str = "text", pdf_ok: str | None = None) -> DataFrame:
     """One report row for each text; other columns stay in front.
 
@@ -87,7 +95,10 @@ def extract_reports(texts: DataFrame, text: str = "text", pdf_ok: str | None = N
     base = texts.select(*[F.col(f"`{c}`") for c in kept], read_ok.alias("pdf_ok"), strip_footer(F.coalesce(F.col(text), F.lit(""))).alias("_text"))
     fields = base.select("*", *[field(F.col("_text"), n).alias(n) for n in FIELD_PATTERNS], without_thresholds(F.col("_text")).alias("_scored"))
     scored = fields.withColumn("_scores", scores(F.col("_scored")))
-    texts3 = scored.select("*", *[criterion(F.col("_scored"), F.col("Type"), i).alias(b) for i, b in enumerate(BLOCKS)])
+    # columns of their own, so that texts are split and cleaned once; criteria are null unless the headings part a text in 5
+    split = scored.withColumn("_parts", F.split("_scored", HEADINGS, -1))
+    split = split.withColumns({f"_part{i}": F.when(F.size("_parts") == 5, criterion_part(F.col("_parts"), i)) for i in range(len(BLOCKS))})
+    texts3 = split.select("*", *[criterion(F.col(f"_part{i}"), F.col("Type"), i).alias(b) for i, b in enumerate(BLOCKS)])
     found = F.lit(True)
     for n in FIELD_PATTERNS:
         found = found & F.col(n).isNotNull()

@@ -20,11 +20,12 @@ CAPITALS = r"(?U)\b[A-Z][A-Z0-9-]{1,}[A-Z]\b"
 NAME, NUMBER, ACRONYM, TITLE = "[NAME]", "[NUMBER]", "[ACRONYM]", "[TITLE]"
 
 #: Tokens in capitals that stay as they are.
-KEPT_CAPITALS = """
-    NAME NUMBER ACRONYM TITLE TRL GANTT PERT FAIR AI4EUROPE CHIPS CHIPS-JU ECSEL EDIH DAIRO DESTIN-E EDMO EFIS ENISA
-    ERGA EUROHPC EUROHPC-JU EUROCORES ELRC EU-ROBOTICS GAIA-X GEANT IPCEI FLAGSHIP TESTA EFFRA AI4EU EOSC HORIZON
-    DIGITAL EUROPE P4PLANET IAM4EU PHOTONICS21
-""".split()
+KEPT_CAPITALS = [
+    "NAME", "NUMBER", "ACRONYM", "TITLE", "TRL", "GANTT", "PERT", "FAIR", "AI4EUROPE", "CHIPS", "CHIPS-JU",
+    "ECSEL", "EDIH", "DAIRO", "DESTIN-E", "EDMO", "EFIS", "ENISA", "ERGA", "EUROHPC", "EUROHPC-JU", "EUROCORES",
+    "ELRC", "EU-ROBOTICS", "GAIA-X", "GEANT", "IPCEI", "FLAGSHIP", "TESTA", "EFFRA", "AI4EU", "EOSC", "HORIZON",
+    "DIGITAL", "EUROPE", "P4PLANET", "IAM4EU", "PHOTONICS21",
+]
 
 #: Capitalised words that aren't names. Our own short list: give ``keep_words`` a fuller one for real texts.
 KEPT_WORDS = """

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from evalspark.operators.classify import classify_reports, flag_outliers_and_ambiguous
-from evalspark.operators.extract import extract_reports
+from evalspark.operators.extract import extract_reports, united
 from evalspark.operators.privacy import anonymize
 from evalspark.operators.report import TOP_N, workbook_sheets
 from evalspark.operators.summarize import Summarizer, summarize_sheets
@@ -54,9 +54,7 @@ class EvaluationPipeline:
     def extract(self, archives: str | Iterable[str], suffix: str = "esr.pdf", earlier: DataFrame | None = None, mask: bool = False, key: bytes | None = None, encrypt: bool = False) -> Extraction:
         """Archives to reports. ``earlier`` reports are united with the new ones before masking, so none stays unmasked."""
         entries = expand_archives(read_archives(self.spark, archives), suffix)
-        reports = extract_reports(decode_entries(entries, self.decoder), "text", "pdf_ok")
-        if earlier is not None:
-            reports = reports.unionByName(earlier, allowMissingColumns=True)
+        reports = united(extract_reports(decode_entries(entries, self.decoder), "text", "pdf_ok"), earlier)
         if mask or encrypt:
             reports = anonymize(reports, key, encrypt=encrypt)
         return Extraction(reports, file_log(entries), error_log(entries))
@@ -67,7 +65,7 @@ class EvaluationPipeline:
         if not flag:
             return found
         # quartiles and rows read the encoded sentences both; the level spills and survives a lost executor by recomputation
-        return flag_outliers_and_ambiguous(found.persist(StorageLevel.DISK_ONLY), iqr_multiplier=iqr_multiplier, ratio_threshold=ratio_threshold, bracketed=True)
+        return flag_outliers_and_ambiguous(found.persist(StorageLevel.DISK_ONLY), iqr_multiplier=iqr_multiplier, ratio_threshold=ratio_threshold)
 
     def sheets(self, classified: DataFrame, top_n: int = TOP_N, **how) -> dict[str, DataFrame]:
         return workbook_sheets(classified, self.topics, top_n, **how)

@@ -9,8 +9,6 @@ texts are rendered from orders and customers by SQL that both engines run.
 from __future__ import annotations
 
 import io
-
-
 import zipfile
 from collections.abc import Callable
 
@@ -19,8 +17,8 @@ from pyspark.sql import functions as F
 
 from evalspark.functions.text import clean_for_encoding, is_negative, is_verdict_only, sentences
 from evalspark.operators import privacy
-from evalspark.operators.classify import classify_sentences, cosine, flag_outliers_and_ambiguous, flag_outliers_window, negative_sentences, score_topics, select_blocks, top_matches
-from evalspark.operators.extract import error_message, extract_reports, is_valid, strip_footer
+from evalspark.operators.classify import classify_sentences, cosine, first_rows, flag_outliers_and_ambiguous, flag_outliers_window, negative_sentences, score_topics, select_blocks, top_matches
+from evalspark.operators.extract import error_message, extract_reports, is_valid, strip_footer, united
 from evalspark.operators.report import activity_summary, block_weights, pivot_block, raw_sheet, workbook_sheets
 from evalspark.operators.summarize import summarize
 from evalspark.operators.topics import centroid_index
@@ -87,10 +85,14 @@ def _negative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classified sentences, stored, as their flags and sheets read them several times."""
     vectors = _vectors(spark, sf_dir)
     n = vectors.count()
     keyed = _negative(spark, sf_dir).withColumn("vec_id", (F.col("Number").cast("long") * 131 + F.col("pos")) % n)
-    return classify_sentences(keyed.join(vectors.select("vec_id", "vec"), "vec_id"), _index(spark, sf_dir))
+    found = classify_sentences(keyed.join(vectors.select("vec_id", "vec"), "vec_id"), _index(spark, sf_dir))
+    path = _shared_folder(spark, "classified")
+    found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +147,7 @@ def clean_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first reports in input order: the limit is the operator."""
-    return _table(spark, sf_dir, "documents").orderBy("doc_id").limit(25).select("doc_id", "source", "n_chars")
+    return first_rows(_table(spark, sf_dir, "documents"), 25, "doc_id").select("doc_id", "source", "n_chars")
 
 
 def cosine_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,8 +216,8 @@ def top_n_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
-    return docs.drop("text").unionByName(pages.select(F.col("item_id").alias("doc_id"), F.length("text").cast("long").alias("n_chars")), allowMissingColumns=True)
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return united(docs.drop("text"), items.select(F.col("item_id").alias("doc_id"), F.length("text").cast("long").alias("n_chars")))
 
 
 def mask_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +253,10 @@ def _shared_folder(spark: SparkSession, name: str) -> str:
     """A new path that executors share: the cluster's checkpoint folder, or below the warehouse in local sessions."""
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -18,6 +18,8 @@ from pyspark.sql.window import Window
 ENTRY_SUFFIX, ARCHIVE_SUFFIXES = "esr.pdf", (".zip", ".zp")
 ENTRIES = "archive string, entry string, content binary, error string"
 ZIP_GLOB = "*.[zZ][iI][pP]"
+#: Parts in which the entries of one name are counted.
+LOG_PARTS = 256
 MAX_DEPTH, MAX_ENTRY_BYTES, MAX_ENTRIES = 8, 256 << 20, 100_000
 
 
@@ -157,10 +159,22 @@ def decode_entries(entries: DataFrame, decoder: TextDecoder) -> DataFrame:
 
 
 def file_log(entries: DataFrame) -> DataFrame:
-    """(ZIP, File, stored_as): base names, with _1, _2 … where several entries have one name."""
+    """(ZIP, File, stored_as): base names, with _1, _2 … where several entries have one name.
+
+    All entries may have one name, so the numbers are counted in LOG_PARTS parts
+    of a name, by hash of archive and entry, and start where the part before ends.
+    """
     base = lambda c: F.regexp_extract(c, r"([^/!]*)$", 1)
     named = entries.where("error IS NULL").select(base(F.col("archive")).alias("ZIP"), base(F.col("entry")).alias("File"), "archive", "entry")
-    k = F.row_number().over(Window.partitionBy("File").orderBy("archive", "entry")) - 1
+    # one entry is one part, so that a name of few entries is counted in the order of archive and entry
+    many = named.groupBy("File").agg(F.when(F.count(F.lit(1)) > LOG_PARTS, LOG_PARTS).otherwise(1).alias("_parts"))
+    parted = named.join(many, "File").withColumn("_part", F.pmod(F.xxhash64("archive", "entry"), F.col("_parts")).cast("int"))
+    sizes = parted.groupBy("File", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("File").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("File", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    rank = F.row_number().over(Window.partitionBy("File", "_part").orderBy("archive", "entry")) - 1
+    named = parted.withColumn("_rank", rank).join(firsts, ["File", "_part"])
+    k = F.col("_first") + F.col("_rank")
     stem, ext = F.regexp_extract("File", r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract("File", r"^(.*?)(\.[^.]*)?$", 2)
     return named.select("ZIP", "File", F.when(k == 0, F.col("File")).otherwise(F.concat(stem, F.lit("_"), k.cast("string"), ext)).alias("stored_as"), "archive", "entry")
 
