@@ -19,6 +19,8 @@ BASE = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 #: Spans up to so many bytes are hashed by polynomials.
 POLYNOMIAL = 256
+#: Bytes that are hashed at a time.
+CHUNK = 1 << 20
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -128,20 +130,36 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for every pair; equal bytes have equal hashes.
-
-    Polynomial prefix sums modulo 2**64 make a span's hash a difference, so the
-    cost doesn't depend on the spans' lengths. Built strings of 1024 bytes and
-    more can be equal under them (Thue-Morse words), so longer spans than
-    POLYNOMIAL are hashed by xxh3.
-    """
+def _polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes: prefix sums modulo 2**64 make a span's hash a difference, wherever the span stands."""
     n = len(data)
     sums = np.zeros(n + 1, U64)
     np.cumsum((data.astype(U64) + U64(1)) * powers(n), out=sums[1:])
     raw = (sums[ends] - sums[starts]) * powers(n + 1, inverse=True)[starts]
-    out = mixed(raw ^ ((ends - starts).astype(U64) * U64(MIX[0])))
+    return mixed(raw ^ ((ends - starts).astype(U64) * U64(MIX[0])))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of data[start:end] for every pair; equal bytes have equal hashes.
+
+    Spans up to POLYNOMIAL bytes cost the same whatever their lengths. Built
+    strings of 1024 bytes and more can be equal under such hashes (Thue-Morse
+    words), so longer spans are hashed by xxh3. Memory is bounded by parts of
+    CHUNK bytes.
+    """
     long = np.flatnonzero(ends - starts > POLYNOMIAL)
+    if len(data) <= CHUNK and not len(long):
+        return _polynomials(data, starts, ends)
+    out = np.empty(len(starts), U64)
+    short = np.flatnonzero(ends - starts <= POLYNOMIAL)
+    if np.any(starts[short[1:]] < starts[short[:-1]]):
+        short = short[np.argsort(starts[short], kind="stable")]
+    first, a = starts[short], 0
+    while a < len(short):
+        b = int(np.searchsorted(first, first[a] + CHUNK, "left"))
+        at, base = short[a:b], int(first[a])
+        out[at] = _polynomials(data[base : int(ends[at].max())], starts[at] - base, ends[at] - base)
+        a = b
     if len(long):
         whole = memoryview(np.ascontiguousarray(data))
         out[long] = np.fromiter((xxhash.xxh3_64_intdigest(whole[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)), U64, len(long))

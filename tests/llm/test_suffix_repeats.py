@@ -162,3 +162,19 @@ def test_colliding_hashes_do_not_fold(monkeypatch):
     data = np.frombuffer(b"aaaabbbbaaaa", np.uint8)
     keys = sr._context_keys(rows, data, np.array([0, 4, 8]), np.array([4, 8, 12]))
     assert keys[0] == keys[2] != keys[1]
+
+
+def test_span_hashes_in_parts(monkeypatch):
+    from evalspark.llm import common
+
+    rng = np.random.default_rng(5)
+    data = rng.integers(97, 99, 4000).astype(np.uint8)
+    starts = rng.integers(0, 3600, 3000)
+    ends = starts + rng.choice([0, 1, 5, 30, 256, 257, 390], 3000)
+    whole = common.span_hashes(data, starts, ends)
+    monkeypatch.setattr(common, "CHUNK", 100)
+    assert (common.span_hashes(data, starts, ends) == whole).all()
+    seen: dict = {}
+    for a, b, h in zip(starts.tolist(), ends.tolist(), whole.tolist(), strict=True):
+        assert seen.setdefault(data[a:b].tobytes(), h) == h
+    assert len(set(seen.values())) == len(seen)
