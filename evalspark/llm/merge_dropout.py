@@ -23,8 +23,8 @@ Lossless: the word mark itself in a text is spelled by byte pieces, and so is
 every character without a piece, so ``decode`` returns every text exactly.
 
 Defined cases: a null text is the empty text, which has no ids; texts are
-encoded whole; a null doc_id draws skips like id 0, and repeated doc_ids with
-equal texts have equal ids; an empty table gives an empty result; columns
+encoded whole; a null doc_id draws skips like id 0, one that is no whole number by a
+hash, and repeated doc_ids with equal texts have equal ids; an empty table gives an empty result; columns
 beside doc_id and text are ignored.
 """
 
@@ -39,6 +39,7 @@ from itertools import chain, repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 
 from evalspark.llm.common import BASE, MIX, U64, in_batches, list_array, mixed, slices
@@ -252,6 +253,13 @@ def mix_int(x: int) -> int:
     return x ^ (x >> 31)
 
 
+def id_number(doc_id) -> int:
+    """What a document's draws are keyed by: a whole number itself, 0 without an id, a hash of what any other id is written as."""
+    if isinstance(doc_id, int) or doc_id is None:
+        return doc_id or 0
+    return xxhash.xxh3_64_intdigest(str(doc_id).encode())
+
+
 def gap_table(threshold: int) -> np.ndarray:
     """2**64 times the chance that k candidates in a row are merged, for k from 1 to MOST_GAP or as far as it isn't 0; ascending."""
     if threshold not in _gaps:
@@ -447,7 +455,7 @@ class Encoder:
         counts = np.concatenate([pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64), np.array([*map(len, rest)], np.int64)])
         ends, keys = np.cumsum(counts), None
         if self.threshold:
-            seeds = np.array([mix_int((self.seed << 1 ^ (doc_ids[k] or 0) * BASE) & 0xFFFFFFFFFFFFFFFF) for k in plain + other], U64)
+            seeds = np.array([mix_int((self.seed << 1 ^ id_number(doc_ids[k]) * BASE) & 0xFFFFFFFFFFFFFFFF) for k in plain + other], U64)
             place = np.arange(len(units)) - np.repeat(ends - counts, counts)
             keys = mixed(place.astype(U64) * U64(PLACE_KEY) + np.repeat(seeds, counts))
         ids, sizes = self.encode_units(units, keys)
@@ -457,7 +465,7 @@ class Encoder:
             out[k] = ids[a:b]
         return out
 
-    def encode(self, doc_id: int | None, text: str | None) -> np.ndarray:
+    def encode(self, doc_id, text: str | None) -> np.ndarray:
         """The ids of a text, as uint16."""
         return self.encode_all([doc_id], [text])[0]
 

@@ -138,3 +138,12 @@ def test_draws_are_independent_trials():
     for k in range(8):
         assert abs((waits == k).mean() - 0.1 * 0.9**k) < 0.003
     assert max(next(gaps(int(k), 1 << 20, 1 << 20)) for k in keys[:200]) > 4096  # draws that are full go on
+
+
+def test_ids_of_any_type_draw_their_own_skips(spark):
+    text = " ".join(["segmentation"] * 300)
+    for kind in ("string", "double", "date", "decimal(20,2)", "int"):
+        docs = spark.range(1, 4).selectExpr(f"CAST({'date_from_unix_date(CAST(id AS INT))' if kind == 'date' else 'id'} AS {kind}) AS doc_id", f"'{text}' AS text")
+        out = decode(encode(docs, 0.2, 3)).collect()
+        assert len({tuple(r["ids"]) for r in out}) == 3 and {r["text"] for r in out} == {text}
+        assert sorted(r["ids"] for r in encode(docs, 0.2, 3).collect()) == sorted(r["ids"] for r in out)
