@@ -248,7 +248,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: in
         told = written(texts.drop("doc_id").mapInArrow(surest, "view int, kind int, sure double, key long, features binary"), "candidates")
         # the surest of all tasks are found by keys alone, and the features of these are fetched
         keys = told.select("view", "kind", "sure", "key").distinct().withColumn("at", F.row_number().over(Window.partitionBy("view", "kind").orderBy(F.desc("sure"), "key")))
-        keys = keys.where(F.col("at") <= F.when(F.col("kind") == 1, most[1]).otherwise(most[0])).select("view", "kind", "key")
+        # the constant bound lets every task of the window's input keep its own surest only
+        keys = keys.where(F.col("at") <= max(most)).where(F.col("at") <= F.when(F.col("kind") == 1, most[1]).otherwise(most[0])).select("view", "kind", "key")
         out = told.join(F.broadcast(keys), ["view", "kind", "key"]).dropDuplicates(["view", "kind", "key"]).select("view", "kind", "sure", "key", "features").collect()
         dropped(told)
         return best([(*r[:4], np.frombuffer(r["features"], np.float32)) for r in out], most)
