@@ -2,10 +2,48 @@
 
 from __future__ import annotations
 
-from evalspark.functions.text import NOISE_PATTERNS
-from evalspark.operators.extract import ENDS, ENDS_BY_TYPE, FIELD_PATTERNS, FOOTER, HEADINGS, SCORE, THRESHOLD
-from evalspark.plans.queries import CORPUS_WORDS, N_TOP, RENDER, THRESHOLD as SIMILARITY
-from evalspark.schema import BLOCKS, ERROR_MEANINGS, NOT_FOUND, SHEET_OF_BLOCK
+from evalspark.operators.privacy import KEPT_CAPITALS, KEPT_WORDS
+from evalspark.operators.topics import TOPICS
+from evalspark.plans.queries import CORPUS_WORDS, LETTERS, N_TOP, PHRASES, RENDER
+
+#: Fixed values, written out again here, so that the queries are held against them and not against themselves.
+BLOCKS = ["C_Excellence", "C_Impact", "C_Implement"]
+SHEET_OF_BLOCK = {"C_Excellence": "Excellence", "C_Impact": "Impact", "C_Implement": "Implementation"}
+NOT_FOUND = "No encontrado"
+SIMILARITY = 0.30
+ERROR_MEANINGS = {
+    0: "OK - No errors detected.",
+    1: "PDF - Error during PDF reading or content extraction.",
+    2: "BasicInfo - Error extracting basic information (e.g., Call, Type, Number, Acronym, Title, Activity).",
+    3: "Scores - Error extracting scores.",
+    4: "Criteria - Error extracting criteria sections.",
+}
+FOOTER = r"\d{8,9}/.*?-\d{2}/\d{2}/\d{4}-\d{2}:\d{2}:\d{2}\s+\d+\s+/\s*\d+"
+FIELD_PATTERNS = {
+    "Call": r"Call: (\S+)",
+    "Type": r"Type of action: (\S+)",
+    "Number": r"Proposal number: (\d+)",
+    "Acronym": r"Proposal acronym: ([a-zA-Z0-9 ._-]+)",
+    "Title": r"(?:Proposal )?[Tt]itle:\s*([\s\S]+?)(?:\n[A-Z][^:\n]+:|$)",
+    "Activity": r"Activity: (\S+)",
+    "Abstract": r"Abstract:\s*(.*?)\s*Evaluation Summary Report",
+}
+SCORE = r"Score:\s*(\d+\.\d{1,4})"
+THRESHOLD = r"\(Threshold:.*?\)"
+HEADINGS = r"Criterion 1 - Excellence|Criterion 2 - Impact|Criterion 3 - Quality and efficiency of the implementation|Scope of the (?:application|proposal)"
+ENDS_BY_TYPE = {
+    "HORIZON-CSA": [r"methodology\.", r"activities\.", r"expertise\."],
+    "HORIZON-FPA": ["objectives", r"and impacts specified in the work programme\.", "participants"],
+}
+ENDS = [r"appropriate\.", r"activities\.", r"expertise\."]
+NEGATIVE = (
+    r"\b(?:shortcomings?|weakness(?:es)?|limit(?:ed|ations?)?|incremental(?:ly)?|lack(?:s|ing)?|insufficient(?:ly)?|unclear(?:ly)?|vague(?:ly|ness)?"
+    r"|not\s+(?:sufficiently|fully|clearly|completely|adequate(?:ly)?|convincing|described|addressed))\b"
+)
+NOISE = (
+    r"\bnot\s+(?:adequately|sufficiently)\b|\binsufficiently\b|\badequately\b|\bsufficiently\b|\bconvincing\b|\bthis\s+is\s+a\s+(?:weakness|shortcoming)\b"
+    r"|\bas\s+a\s+result\b|\bhowever\b|\bmoreover\b|\binadequately\b"
+)
 
 _TEXTS = f"r AS ({RENDER.format(orders='orders', customer='customer')}), f AS (SELECT report_id, regexp_replace(text, '(?s){FOOTER}', '', 'g') AS text FROM r)"
 
@@ -70,10 +108,51 @@ _ROUNDED = ", ".join(f"round(t{t}, 6) AS t{t}" for t in range(10))
 _FIRST = ", ".join(f'first({c} ORDER BY "Call", Number, Score, Block, classification, sentence) AS {c}' for c in ('"Call"', "Score", "Block"))
 _TOP = ", ".join(f"round(avg(t{t}), 6) AS t{t}" for t in range(10))
 _RANK = f"row_number() OVER (PARTITION BY Activity ORDER BY greatest({', '.join(f't{t}' for t in range(10))}) DESC, Number, sentence, \"Call\", Score, classification)"
-_NOISE = "|".join(NOISE_PATTERNS)
 _MESSAGES = " ".join(f"WHEN {k} THEN '{v}'" for k, v in ERROR_MEANINGS.items())
 _MASK = lambda text, value, mark: f"CASE WHEN {value} IS NOT NULL AND {value} <> '' THEN replace({text}, {value}, '{mark}') ELSE {text} END"
 
+
+
+def _marked(text: str) -> str:
+    """Between underscores all characters outside ASCII that are part of words, as \\b knows only ASCII here."""
+    word = r"\p{L}\p{M}\p{Nd}\p{Pc}"
+    every = rf"regexp_replace({text}, '([^\x00-\x7F])', '_' || chr(1) || '\1' || chr(1) || '_', 'g')"
+    return rf"regexp_replace({every}, '_\x01([^{word}])\x01_', '\1', 'g')"
+
+
+def _masked(text: str, pattern: str, keep: list[str]) -> str:
+    """[NAME] for the matches that aren't kept; what was marked is as before."""
+    kept = ", ".join(f"'{w}'" for w in sorted(keep))
+    parts = f"string_split(regexp_replace({text}, '({pattern})', chr(2) || '\\1' || chr(3), 'g'), chr(2))"
+    each = f"list_transform({parts}, lambda x: CASE WHEN NOT contains(x, chr(3)) THEN x WHEN string_split(x, chr(3))[1] IN ({kept}) THEN replace(x, chr(3), '') ELSE '[NAME]' || string_split(x, chr(3))[2] END)"
+    return f"replace(replace(replace(array_to_string({each}, ''), '_' || chr(1), ''), chr(1) || '_', ''), chr(4) || '_', '')"
+
+
+_WHITE = r"[\s\x0B\x{85}\p{Z}]"
+
+
+def _names(text: str) -> str:
+    # after the end of a sentence or one white space at the start a capital is marked, so that no word starts there
+    after = rf"regexp_replace(regexp_replace({_marked(text)}, '([.!?]{_WHITE})([A-Z])', '\1' || chr(4) || '_\2', 'g'), '\A({_WHITE})([A-Z])', '\1' || chr(4) || '_\2')"
+    return _masked(after, r"\b[A-Z][a-z]{3,}\b", KEPT_WORDS)
+
+
+def _capitals(text: str) -> str:
+    two = rf"regexp_replace({_marked(text)}, '\b[A-Z][A-Z0-9-]{{2,}}[A-Z0-9]{_WHITE}+[A-Z][A-Z0-9-]{{1,}}[A-Z0-9]\b', '[NAME]', 'g')"
+    return _masked(two, r"\b[A-Z][A-Z0-9-]{1,}[A-Z]\b", KEPT_CAPITALS)
+
+
+def _own(i: int) -> str:
+    text = f"CASE WHEN doc_id % 3 = {i} THEN coalesce(text, '') ELSE '' END"
+    return f"{_capitals(_names(_MASK(text, 'CAST(doc_id AS VARCHAR)', '[NUMBER]')))} AS {BLOCKS[i]}"
+
+
+def _letters(text: str) -> str:
+    return "[" + ", ".join(f"CAST(length({text}) - length(replace({text}, '{c}', '')) AS DOUBLE)" for c in LETTERS) + "]"
+
+
+_CATALOG = ", ".join(f"('{b}', {i}, '{t}', '{d}')" for b, own in TOPICS.items() for i, (t, d) in enumerate(own.items()))
+
 ORACLE_SQL: dict[str, str] = {
     "extract_basic_info": f"WITH {_REPORTS} SELECT report_id, " + ", ".join(f"coalesce(\"{n}\", '{NOT_FOUND}') AS \"{n}\"" for n in FIELD_PATTERNS) + ", basic_ok FROM c",
     "extract_scores": f"WITH {_REPORTS} SELECT report_id, round(coalesce(list_sum(sc), 0.0), 6) AS total, sc[1] AS S_Excellence, sc[2] AS S_Impact, sc[3] AS S_Implement, len(sc) > 0 AS score_ok FROM c",
@@ -83,7 +162,7 @@ ORACLE_SQL: dict[str, str] = {
     "sentence_split": f"WITH {_SENTENCES} SELECT doc_id, CAST(pos AS INTEGER) AS pos, sentence FROM s",
     "negative_filter": f"WITH {_SENTENCES} SELECT CAST(doc_id AS VARCHAR) AS Number, {_BLOCK}[CAST(doc_id % 3 AS INTEGER) + 1] AS Block, CAST(pos AS INTEGER) AS pos, sentence FROM s WHERE regexp_matches(sentence, '{_NEGATIVE}')",
     "verdict_filter": f"WITH {_SENTENCES} SELECT doc_id, CAST(pos AS INTEGER) AS pos, ({' OR '.join(f'''contains(lower(sentence), '{w}')''' for w in CORPUS_WORDS)}) AND length(trim(sentence)) < 60 AS verdict_only, regexp_matches(sentence, '{_NEGATIVE}') AS negative FROM s",
-    "clean_sentences": rf"WITH {_SENTENCES} SELECT doc_id, CAST(pos AS INTEGER) AS pos, trim(regexp_replace(regexp_replace(lower(sentence), '(?:{_NOISE})', ' ', 'g'), '\s+', ' ', 'g')) AS cleaned FROM s",
+    "clean_sentences": rf"WITH {_SENTENCES} SELECT doc_id, CAST(pos AS INTEGER) AS pos, trim(regexp_replace(regexp_replace(lower(sentence), '(?:{NOISE})', ' ', 'g'), '\s+', ' ', 'g')) AS cleaned FROM s",
     "row_limit": "SELECT doc_id, source, n_chars FROM documents ORDER BY doc_id LIMIT 25",
     "cosine_matrix": f"WITH {_SIMS} SELECT vec_id, Block, topic, round(val, 6) AS val FROM rk",
     "topk_threshold": f"WITH {_SIMS}, hit AS (SELECT * FROM rk WHERE k <= 3 AND val >= {SIMILARITY}) SELECT vec_id, Block, CAST(k - 1 AS INTEGER) AS k, topic, round(val, 6) AS val FROM hit UNION ALL SELECT vec_id, Block, 0, 'unclassified', round(val, 6) FROM rk WHERE k = 1 AND val < {SIMILARITY}",
@@ -102,6 +181,16 @@ ORACLE_SQL: dict[str, str] = {
     "mask_literals": f"""WITH a AS (SELECT doc_id, lang, source, {_MASK('text', 'CAST(n_chars AS VARCHAR)', '[NUMBER]')} AS t FROM documents), b AS (SELECT doc_id, source, {_MASK('t', 'lang', '[ACRONYM]')} AS t FROM a)
         SELECT doc_id, {_MASK('t', 'source', '[TITLE]')} AS masked FROM b""",
     "mask_list_column": f"SELECT doc_id, CAST(len(string_split(text, chr(10))) AS INTEGER) AS lines, array_to_string(list_transform(string_split(text, chr(10)), lambda c: {_MASK('c', 'lang', '[ACRONYM]')}), chr(10)) AS masked FROM documents",
+    "mask_context": f"SELECT doc_id, {_names('text')} AS masked FROM documents",
+    "mask_acronyms": f"SELECT doc_id, {_capitals('text')} AS masked FROM documents",
+    "anonymize_reports": f"SELECT CAST(doc_id AS VARCHAR) AS Number, {', '.join(map(_own, range(3)))} FROM documents",
+    "default_negative": f"""WITH {_SENTENCES}, p AS (SELECT doc_id, pos, sentence || [{', '.join(f"'{x}'" for x in PHRASES)}][(doc_id + pos) % {len(PHRASES)} + 1] AS t FROM s)
+        SELECT doc_id, CAST(pos AS INTEGER) AS pos, regexp_matches(t, '(?i){NEGATIVE}') AS negative, regexp_matches(lower(t), 'shortcoming|weakness') AND length(trim(t)) < 60 AS verdict_only FROM p""",
+    "encoded_topics": f"""WITH d AS (SELECT doc_id, {_BLOCK}[CAST(doc_id % 3 AS INTEGER) + 1] AS Block, {_letters("coalesce(text, '')")} AS v FROM documents),
+        c AS (SELECT col0 AS Block, col1 AS topic_ord, col2 AS topic, {_letters('col3')} AS tv FROM (VALUES {_CATALOG})),
+        m AS (SELECT doc_id, Block, topic, topic_ord, list_cosine_similarity(v, tv) AS val FROM d JOIN c USING (Block) WHERE list_sum(v) > 0),
+        k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY val DESC, topic_ord) AS k FROM m)
+        SELECT doc_id, Block, topic, round(val, 6) AS val FROM k WHERE k = 1""",
     "aes_roundtrip": "SELECT c_custkey, c_name AS decoded, CAST(28 + strlen(c_name) AS INTEGER) AS coded_bytes, true AS differs FROM customer",
     "csv_roundtrip": "SELECT doc_id, source, CAST(length(text) AS INTEGER) AS chars, sha256(text) AS digest FROM documents",
     "parquet_roundtrip": "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1",

@@ -12,6 +12,7 @@ import io
 import zipfile
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from evalspark.operators.classify import classify_sentences, cosine, first_rows,
 from evalspark.operators.extract import error_message, extract_reports, is_valid, strip_footer, united
 from evalspark.operators.report import activity_summary, block_weights, pivot_block, raw_sheet, workbook_sheets
 from evalspark.operators.summarize import summarize
-from evalspark.operators.topics import centroid_index
+from evalspark.operators.topics import centroid_index, encoded, topic_catalog, topic_index
 from evalspark.schema import BLOCKS, SHEET_OF_BLOCK, TEXT_FIELDS
 from evalspark.sources.archives import PlainTextDecoder, decode_entries, expand_archives, file_log
 from evalspark.sources.tables import export, load
@@ -33,6 +34,11 @@ CORPUS_WORDS = ["idiot", "worthless", "moron", "pathetic", "stupid"]
 CORPUS_NEGATIVE = [rf"\b{w}\b" for w in CORPUS_WORDS]
 TOPIC_NAMES = [str(i) for i in range(10)]
 N_TOP, THRESHOLD = 10, 0.30
+#: Ends of sentences that have the default negative expressions, or nearly.
+PHRASES = [
+    ".", " Shortcomings remain.", " A WEAKNESS.", " limited", " unlimited", " incrementally", " black", " It is not  fully shown.", " not addressed", " not full", " vagueness", " unclear", " insufficient",
+]
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 #: One report text per order, in SQL of both engines: footers, thresholds, gaps in some fields, 2 to 4 scores.
 RENDER = """
@@ -48,6 +54,13 @@ SELECT o_orderkey AS report_id, concat(
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
 
 
+class LetterEncoder:
+    """An encoder that SQL can express: the counts of the small letters."""
+
+    def encode(self, texts: list[str]) -> np.ndarray:
+        return np.array([[t.count(c) for c in LETTERS] for t in texts], float).reshape(len(texts), len(LETTERS))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -234,6 +247,27 @@ def mask_acronyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", privacy.mask_capitals(F.col("text")).alias("masked"))
 
 
+def anonymize_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All masks, on every report's criterion texts."""
+    return privacy.anonymize(_reports(spark, sf_dir)).select("Number", *BLOCKS)
+
+
+def default_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default negative expressions and verdicts, on sentences that end in phrases like them."""
+    phrase = F.element_at(F.array(*map(F.lit, PHRASES)), ((F.col("doc_id") + F.col("pos")) % len(PHRASES) + 1).cast("int"))
+    said = sentence_split(spark, sf_dir).withColumn("t", F.concat("sentence", phrase))
+    return said.select("doc_id", "pos", is_negative(F.col("t")).alias("negative"), is_verdict_only(F.col("t")).alias("verdict_only"))
+
+
+def encoded_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document by an encoder against the encoded catalog: the best topic of its block."""
+    block = F.element_at(F.array(*map(F.lit, BLOCKS)), (F.col("doc_id") % 3 + 1).cast("int"))
+    vectors = encoded(_table(spark, sf_dir, "documents").select("doc_id", block.alias("Block"), "text"), "text", LetterEncoder())
+    known = vectors.where(F.exists("vec", lambda x: x != 0))
+    best = F.get("ranked", F.lit(0))
+    return score_topics(known, topic_index(topic_catalog(spark), LetterEncoder())).select("doc_id", "Block", best["topic"].alias("topic"), F.round(best["val"], 6).alias("val"))
+
+
 def mask_list_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list form: literal masks in each line of a document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", F.split("text", "\n").alias("Criterion"))
@@ -319,7 +353,7 @@ QUERIES: dict[str, Query] = {
         extract_basic_info, extract_scores, extract_criteria, footer_strip, error_code, sentence_split, negative_filter, verdict_filter,
         clean_sentences, row_limit, cosine_matrix, topk_threshold, top_two_topics, centroid_topics, classified_rows, iqr_outliers,
         ambiguity_status, all_raw_data, weighted_blocks, activity_report, top_n_sentences, union_by_name, mask_literals, mask_context,
-        mask_acronyms, mask_list_column, aes_roundtrip, csv_roundtrip, parquet_roundtrip, workbook_counts, summaries, zip_scan,
+        mask_acronyms, anonymize_reports, default_negative, encoded_topics, mask_list_column, aes_roundtrip, csv_roundtrip, parquet_roundtrip, workbook_counts, summaries, zip_scan,
     )
 } | {f"pivot_{SHEET_OF_BLOCK[b].lower()}": _pivot(b) for b in BLOCKS}
 
