@@ -112,7 +112,7 @@ def _ordered_prefix(shingles: np.ndarray, weights: np.ndarray, length: int) -> n
 
 
 def _postings(words: int, num: int, den: int, heavy, shared=None):
-    """Rows of (shingle, place, group, n, class) for every prefix; a class's first row in a task only.
+    """Rows of (shingle, place, group, n, class): a task posts a group's whole prefix once, and each further class of it by the first shingle alone.
 
     ``shared`` is a bitmap of shingles: the others are left out.
     """
@@ -120,6 +120,7 @@ def _postings(words: int, num: int, den: int, heavy, shared=None):
     def postings(batches):
         hashes, counts = heavy.value
         seen: set[tuple[int, int]] = set()
+        posted: set[tuple[int, int]] = set()
         for batch in batches:
             for some in slices(batch, "text", PART_BYTES):
                 sets = shingle_sets(some.column("text"), words)
@@ -136,8 +137,11 @@ def _postings(words: int, num: int, den: int, heavy, shared=None):
                     seen.add(own)
                     prefix = _ordered_prefix(s, weights[start:end], prefix_length(len(s), num, den))
                     # the group is told by the prefix, in order, and the size
-                    group = mixed(prefix * np.arange(1, 2 * len(prefix), 2, dtype=U64)).sum(dtype=U64, keepdims=True) + U64(len(s))
-                    found.append((prefix, int(group.view(np.int64)[0]), *own))
+                    group = int((mixed(prefix * np.arange(1, 2 * len(prefix), 2, dtype=U64)).sum(dtype=U64, keepdims=True) + U64(len(s))).view(np.int64)[0])
+                    if (group, len(s)) in posted:
+                        prefix = prefix[:1]
+                    posted.add((group, len(s)))
+                    found.append((prefix, group, *own))
                 if not found:
                     continue
                 lengths = [len(x[0]) for x in found]
@@ -218,14 +222,15 @@ def similar_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     shared = written(shared, "shared")
     listed = written(postings(spark.sparkContext.broadcast(bitmap(shared, "shingle"))).join(shared, "shingle").distinct(), "listed")
 
-    entries = listed.select("shingle", "place", "group", "n").distinct()
     groups = written(listed.select("group", "n", "key").distinct(), "groups")
     leaders = groups.groupBy("group", "n").agg(F.min("key").alias("leader"))
-    pivots = entries.groupBy("shingle").agg(F.min(F.struct("place", "group", "n")).alias("p")).select("shingle", F.col("p.place").alias("place2"), F.col("p.group").alias("group2"), F.col("p.n").alias("n2"))
+    # pivots and lists share one exchange, as both have the join's null filters; a group that several tasks posted is repeated here, which is linear
+    lists = listed.select("shingle", "place", "group", "n").where(F.col("shingle").isNotNull() & F.col("group").isNotNull() & F.col("n").isNotNull()).repartition("shingle")
+    pivots = lists.groupBy("shingle").agg(F.min(F.struct("place", "group", "n")).alias("p")).select("shingle", F.col("p.place").alias("place2"), F.col("p.group").alias("group2"), F.col("p.n").alias("n2"))
     named = lambda df, k: df.select(*[F.col(c).alias(f"{c}{k}") if c != "shingle" else F.col(c) for c in df.columns])
 
     # linear: each list against its pivot, each group against its leader
-    stars = named(entries, 1).join(pivots, "shingle").where(f"group1 != group2 AND {_may_link(num, den)}").select("group1", "n1", "group2", "n2").distinct()
+    stars = named(lists, 1).join(pivots, "shingle").where(f"group1 != group2 AND {_may_link(num, den)}").select("group1", "n1", "group2", "n2").distinct()
     of = lambda k: leaders.select(F.col("group").alias(f"group{k}"), F.col("n").alias(f"n{k}"), F.col("leader").alias(f"k{k}"))
     across = stars.join(of(1), ["group1", "n1"]).join(of(2), ["group2", "n2"]).select("k1", "k2")
     within = groups.join(leaders, ["group", "n"]).where("key != leader").select(F.col("key").alias("k1"), F.col("leader").alias("k2"))
@@ -249,8 +254,8 @@ def similar_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
         own = maybe_in(texts, "doc_id", wanted).join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
         if wanted.where("doc_id IS NULL").take(1):
             own = own.union(texts.where("doc_id IS NULL"))
-        sets = written(own.mapInArrow(_sets(words, keys), "key long, shingles binary").dropDuplicates(["key"]), "sets")
-        links = written(sides(left, sets, "shingles").mapInArrow(_verified(num, den), "k1 long, k2 long"), "links")
+        sets = written(own.mapInArrow(_sets(words, keys), "key long, shingles binary"), "sets")
+        links = written(sides(left, sets.dropDuplicates(["key"]), "shingles").mapInArrow(_verified(num, den), "k1 long, k2 long"), "links")
         dropped(left, sets)
         return links
 
@@ -262,20 +267,22 @@ def similar_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     label = lambda df: df.join(found.withColumnRenamed("id", "key"), "key", "left").withColumn("label", F.coalesce("component_id", "key")).drop("component_id")
     labelled = written(label(groups), "labelled")
     spread = labelled.groupBy("group", "n").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    ranged = entries.join(spread, ["group", "n"])
-    open_lists = ranged.groupBy("shingle").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.ceil(F.count(F.lit(1)) / OPEN).cast("int").alias("blocks")).where("least != most").select("shingle", "blocks")
-    # a list's entries meet by pairs of blocks, so that a long list is spread over many tasks
-    still = ranged.join(open_lists, "shingle").withColumn("block", F.pmod(F.xxhash64("group", "n"), F.col("blocks")).cast("int"))
+    entries = listed.select("shingle", "place", "group", "n").repartition("group", "n").distinct()
+    # a group's label, where its classes have but one
+    ranged = entries.join(spread.select("group", "n", "low", F.expr("low = high").alias("one")), ["group", "n"])
+    open_lists = ranged.groupBy("shingle").agg(F.min("low").alias("least"), F.max("low").alias("most"), F.min("one").alias("ones"), F.ceil(F.count(F.lit(1)) / OPEN).cast("int").alias("blocks")).where("least != most OR NOT ones").select("shingle", "blocks")
+    still = ranged.join(open_lists, "shingle").select("shingle", "blocks", "place", "group", "n", "low", "one")
+    half = lambda df, k, *on: df.select(*on, *[F.col(c).alias(f"{c}{k}") for c in ("place", "group", "n", "low", "one")])
+    # a short list's entries meet where the list is; those of a long one by pairs of blocks, so that it is spread over many tasks
+    short = still.where("blocks = 1")
+    cells = still.where("blocks > 1").withColumn("block", F.pmod(F.xxhash64("group", "n"), F.col("blocks")).cast("int"))
     met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(other, F.col("block")).alias("a"), F.greatest(other, F.col("block")).alias("b")))
-    still = still.select("*", F.explode(met).alias("met")).select("shingle", "met.a", "met.b", "block", "place", "group", "n", "low", "high")
-    half = lambda k, side: still.where(f"block = {side}").select("shingle", "a", "b", *[F.col(c).alias(f"{c}{k}") for c in ("place", "group", "n", "low", "high")])
-    pairs = (
-        half(1, "a")
-        .join(half(2, "b"), ["shingle", "a", "b"])
-        .where(f"(a < b OR group1 < group2) AND NOT (low1 = high1 AND low2 = high2 AND low1 = low2) AND {_may_link(num, den)}")
-        .select("group1", "n1", "group2", "n2")
-        .distinct()
-    )
+    cells = cells.select("*", F.explode(met).alias("met")).select("*", "met.a", "met.b")
+    side = lambda k, end: half(cells.where(f"block = {end}"), k, "shingle", "a", "b")
+    differ = f"NOT (one1 AND one2 AND low1 = low2) AND {_may_link(num, den)}"
+    near = half(short, 1, "shingle").join(half(short, 2, "shingle"), "shingle").where(f"group1 < group2 AND {differ}")
+    far = side(1, "a").join(side(2, "b"), ["shingle", "a", "b"]).where(f"(a < b OR group1 < group2) AND {differ}")
+    pairs = near.select("group1", "n1", "group2", "n2").union(far.select("group1", "n1", "group2", "n2")).distinct()
     inner = spread.where("low != high").select(F.col("group").alias("group1"), F.col("n").alias("n1"), F.col("group").alias("group2"), F.col("n").alias("n2"))
     expanded = lambda k: labelled.select(F.col("group").alias(f"group{k}"), F.col("n").alias(f"n{k}"), F.col("key").alias(f"k{k}"), F.col("label").alias(f"label{k}"))
     rest = pairs.union(inner).join(expanded(1), ["group1", "n1"]).join(expanded(2), ["group2", "n2"]).where("label1 != label2").select("k1", "k2")
