@@ -120,3 +120,22 @@ def test_long_open_lists_are_compared_whole(spark, monkeypatch):
     rows = [(i, "lead " + " ".join(f"w{i // 2}x{k}" for k in range(12)) + (" end" if i % 2 else "")) for i in range(90)]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80, 100).collect()}
     assert got == similar(rows, 1, 80, 100)
+
+
+def test_group_posts_its_prefix_once(monkeypatch):
+    import evalspark.llm.jaccard_join as jj
+
+    # three classes of one prefix and size, one of another size
+    head = [f"a{i}" for i in range(30)]
+    common = shingle_sets(pa.array([" ".join(head)]), 1)[0]
+    monkeypatch.setattr(jj, "_ordered_prefix", lambda s, w, length: np.intersect1d(s, common)[:length])
+
+    class Heavy:
+        value = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+    texts = pa.array([" ".join([*head, *more]) for more in ("x", "y", "z", "xy")])
+    rows = [r for b in jj._postings(1, 80, 100, Heavy)([pa.RecordBatch.from_arrays([texts], ["text"])]) for r in b.to_pylist()]
+    first, second, third, other = ([r for r in rows if r["key"] == key] for key in dict.fromkeys(r["key"] for r in rows))
+    assert [len(first), len(second), len(third), len(other)] == [prefix_length(31, 80, 100), 1, 1, prefix_length(32, 80, 100)]
+    assert len({r["group"] for r in first + second + third}) == 1 and other[0]["group"] != first[0]["group"]
+    assert second[0]["shingle"] == third[0]["shingle"] == first[0]["shingle"] and second[0]["place"] == 0
